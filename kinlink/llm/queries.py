@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
 from kinlink.llm.lookalike import look_col, lookalike_pairs
+from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.splits import grouped_splits, tied_pairs
 from kinlink.operators.components import connected_components
 from kinlink.operators.packed import unpack
@@ -92,6 +93,27 @@ def p4_canonical_names(spark: SparkSession, d: str) -> DataFrame:
     return names.select("business_name", look_col(F.col("business_name")).alias("look"), look_col(F.col("business_name"), fold=True).alias("folded"))
 
 
+# -- problem 1 ---------------------------------------------------------------------------------------------------------
+
+
+def _addresses13(spark: SparkSession, d: str) -> DataFrame:
+    parts = [table(spark, d, f"train_source{k}").select("entity_id", "business_address") for k in (1, 3)]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return place_pairs(cut(place_classes(_addresses13(spark, d), "entity_id", "business_address")))
+
+
+@query
+def p1_place_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The place class of each record and how many records share it."""
+    classes = cut(place_classes(_addresses13(spark, d), "entity_id", "business_address"))
+    sizes = classes.groupBy("place").agg(F.count_distinct("id").alias("n_records"))
+    return classes.join(sizes, "place").select(F.col("id").alias("entity_id"), "place", "n_records")
+
+
 # -- SQL ---------------------------------------------------------------------------------------------------------------
 
 _IDS = """regexp_extract_all(%s, '["''](S[0-9]-[0-9]{8})[,;|][A-Z0-9]{1,2}["'']|S[0-9]-[0-9]{8}')"""
