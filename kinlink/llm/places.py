@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
 from kinlink.llm.address import Address, parse, same_place
+from kinlink.llm.classes import link_classes
 from kinlink.llm.neighbours import Gate, letter_mask, window_pairs
-from kinlink.operators.components import connected_components
 from kinlink.session import cut
 
 WINDOW = 20
@@ -67,16 +67,7 @@ def place_classes(records: DataFrame, id_col: str, address_col: str, window: int
     ]
     gate = Gate(equal=("gate",), masks=(("street_mask", 6), ("town_mask", 8)))
     links = cut(window_pairs(forms, keys, "form", PART_NAMES, gate, lambda a, b: same_place(Address(*a), Address(*b)), window))
-    sure = connected_components(links.where("score = 2").select("a", "b"))
-    class_of = cut(forms.select(F.col("form").alias("node")).join(sure, "node", "left").select("node", F.coalesce("component", "node").alias("c")))
-    weak = links.where("score = 1").select("a", "b")
-    weak = weak.join(class_of.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(class_of.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
-    weak = weak.where("ca <> cb").select("ca", "cb").distinct()
-    both = weak.unionByName(weak.select(F.col("cb").alias("ca"), F.col("ca").alias("cb"))).distinct()
-    lone = both.groupBy("ca").agg(F.count("*").alias("n")).where("n = 1").select("ca")
-    fit = weak.join(lone, "ca", "left_semi").join(lone.select(F.col("ca").alias("cb")), "cb", "left_semi")
-    joined = connected_components(fit.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    final = class_of.join(joined.select(F.col("node").alias("c"), F.col("component").alias("c2")), "c", "left").select(F.col("node").alias("form"), F.coalesce("c2", "c").alias("place"))
+    final = link_classes(forms.select(F.col("form").alias("node")), links).select(F.col("node").alias("form"), F.col("cls").alias("place"))
     return rows.join(texts.select("text", "form").join(final, "form"), "text").select("id", "place").distinct()
 
 

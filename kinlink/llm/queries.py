@@ -9,6 +9,7 @@ from kinlink.functions.text import missing
 from kinlink.llm.lookalike import look_col, lookalike_pairs
 from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.splits import grouped_splits, tied_pairs
+from kinlink.llm.variants import name_classes, variant_pairs
 from kinlink.operators.components import connected_components
 from kinlink.operators.packed import unpack
 from kinlink.plans.general import ID_PATTERN, ID_SUFFIX
@@ -114,6 +115,33 @@ def p1_place_classes(spark: SparkSession, d: str) -> DataFrame:
     return classes.join(sizes, "place").select(F.col("id").alias("entity_id"), "place", "n_records")
 
 
+# -- problem 5 ---------------------------------------------------------------------------------------------------------
+
+
+def _names(spark: SparkSession, d: str, k: int) -> DataFrame:
+    return table(spark, d, f"train_source{k}").select(F.col("entity_id").alias("id"), F.col("business_name").alias("text"))
+
+
+def _name_classes(spark: SparkSession, d: str) -> DataFrame:
+    return cut(name_classes(_names(spark, d, 1), _names(spark, d, 2)))
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    known = table(spark, d, "train_matches").select(F.col("source1_entity_id").alias("id"))
+    left = _names(spark, d, 1).join(known, "id", "left_anti")
+    got = variant_pairs(left, _names(spark, d, 2), _name_classes(spark, d))
+    return got.select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"))
+
+
+@query
+def p5_name_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each distinct name of sources 1 and 2 with its class and the number of spellings in it."""
+    classes = _name_classes(spark, d)
+    sizes = classes.groupBy("cls").agg(F.count("*").alias("n_spellings"))
+    return classes.join(sizes, "cls").select(F.col("text").alias("business_name"), "cls", "n_spellings")
+
+
 # -- SQL ---------------------------------------------------------------------------------------------------------------
 
 _IDS = """regexp_extract_all(%s, '["''](S[0-9]-[0-9]{8})[,;|][A-Z0-9]{1,2}["'']|S[0-9]-[0-9]{8}')"""
