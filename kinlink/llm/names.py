@@ -220,11 +220,19 @@ def vowelless(word: str) -> bool:
     return len(word) >= 3 and len(_VOWELS.findall(word[1:])) * 8 < len(word)
 
 
+def _same_bones(x: str, y: str) -> bool:
+    """Equal consonants, or one lost, doubled or moved in six or more; another consonant is another name."""
+    if x == y:
+        return True
+    if min(len(x), len(y)) < 6 or osa(x, y, 1) > 1:
+        return False
+    return len(x) != len(y) or sorted(x) == sorted(y)
+
+
 def _word(a: str, b: str) -> bool:
     va, vb = vowelless(a), vowelless(b)
     if va != vb:
-        x, y = bones(a), bones(b)
-        return x == y or (min(len(x), len(y)) >= 5 and osa(x, y, 1) <= 1)
+        return _same_bones(bones(a), bones(b))
     return _close(a, b) or (min(len(a), len(b)) >= 6 and a.replace("a", "") == b.replace("a", ""))
 
 
@@ -242,8 +250,7 @@ def _words_match(a: list[str], b: list[str]) -> bool:
         if _close(ja, jb):
             return True
         if bare or abs(len(ja) - len(jb)) >= 3:
-            x, y = bones(ja), bones(jb)
-            if x == y or (min(len(x), len(y)) >= 6 and osa(x, y, 1) <= 1):
+            if _same_bones(bones(ja), bones(jb)):
                 return True
     if len(a) <= 3 and len(b) > 3:
         return any(_close("".join(p), "".join(b)) for p in permutations(a))

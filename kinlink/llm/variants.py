@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
 from kinlink.llm.classes import link_classes
-from kinlink.llm.names import OrgName, bones, parse_name, same_org, vowelless
+from kinlink.llm.names import OrgName, bones, fold, parse_name, same_org, vowelless
 from kinlink.llm.trie import Trie
 from kinlink.session import cut, shuffle_partitions
 
@@ -41,8 +41,14 @@ def shard_keys(name: OrgName) -> list[str]:
             keys.add(f"{name.trade}<{b[:4]}")
             keys.add(f"{name.trade}>{b[-4:]}")
     if len(words) == 1:
-        keys.add("=" + bones(words[0])[:6])
+        b = bones(words[0])
+        keys.add("=" + b[:6])
+        # a family name alone: shorter keys, together with the given name's initial
+        for g in {fold(x)[:1] for x in name.given.split("|") if x}:
+            keys.add(f"{name.trade}{g}<{b[:2]}")
+            keys.add(f"{name.trade}{g}>{b[-2:]}")
     keys.add("=" + "|".join(sorted(bones(w)[:3] for w in words)))
+    keys.add("#" + "|".join(sorted(bones(w)[-3:] for w in words)))
     joined = bones("".join(words))
     keys.add("*" + joined[:4] + joined[-3:])
     return sorted(keys)
