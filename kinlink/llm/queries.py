@@ -9,6 +9,7 @@ from kinlink.functions.text import missing
 from kinlink.llm.entities import best_left, one_to_one, site_candidates
 from kinlink.llm.lookalike import look_col, lookalike_pairs
 from kinlink.llm.places import place_classes, place_pairs
+from kinlink.llm.spam import spam_scores
 from kinlink.llm.splits import grouped_splits, tied_pairs
 from kinlink.llm.variants import name_classes, variant_pairs
 from kinlink.operators.components import connected_components
@@ -163,6 +164,20 @@ def p5_name_classes(spark: SparkSession, d: str) -> DataFrame:
     return classes.join(sizes, "cls").select(F.col("text").alias("business_name"), "cls", "n_spellings")
 
 
+# -- problem 10 --------------------------------------------------------------------------------------------------------
+
+
+@query
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam_scores(table(spark, d, "documents"), "doc_id", "text", "source").where("is_spam").select("doc_id")
+
+
+@query
+def p10_spam_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Share of the characters of each text that lie in lists, links, tags and stuffed phrases."""
+    return spam_scores(table(spark, d, "documents"), "doc_id", "text", "source")
+
+
 # -- SQL ---------------------------------------------------------------------------------------------------------------
 
 _IDS = """regexp_extract_all(%s, '["''](S[0-9]-[0-9]{8})[,;|][A-Z0-9]{1,2}["'']|S[0-9]-[0-9]{8}')"""
