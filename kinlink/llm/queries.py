@@ -9,8 +9,11 @@ from kinlink.functions.text import missing
 from kinlink.llm.entities import best_left, one_to_one, site_candidates
 from kinlink.llm.lookalike import look_col, lookalike_pairs
 from kinlink.llm.places import place_classes, place_pairs
+from kinlink.llm.mixing import mix, mix_report
+from kinlink.llm.packing import container_report, pack
 from kinlink.llm.spam import spam_scores
 from kinlink.llm.splits import grouped_splits, tied_pairs
+from kinlink.llm.tokens import token_sizes
 from kinlink.llm.variants import name_classes, variant_pairs
 from kinlink.operators.components import connected_components
 from kinlink.operators.packed import unpack
@@ -164,6 +167,49 @@ def p5_name_classes(spark: SparkSession, d: str) -> DataFrame:
     return classes.join(sizes, "cls").select(F.col("text").alias("business_name"), "cls", "n_spellings")
 
 
+# -- problem 8 ---------------------------------------------------------------------------------------------------------
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return cut(token_sizes(table(spark, d, "documents"), "doc_id", "text", ["source"]))
+
+
+def _containers(spark: SparkSession, d: str) -> dict[str, int]:
+    return {r["container_kind"]: int(r["capacity_tokens"]) for r in table(spark, d, "containers").collect()}  # a fixed, tiny table
+
+
+@query
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """The container of each document (of each piece of one larger than the capacity) and the room left in it."""
+    return pack(_sizes(spark, d), _containers(spark, d))
+
+
+@query
+def p8_container_report(spark: SparkSession, d: str) -> DataFrame:
+    kinds = _containers(spark, d)
+    return container_report(pack(_sizes(spark, d), kinds), kinds)
+
+
+# -- problem 9 ---------------------------------------------------------------------------------------------------------
+
+
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    targets = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in table(spark, d, "mix_targets").collect()}  # a fixed, tiny table
+    return mix(_sizes(spark, d), targets)
+
+
+@query
+def p9_uses(spark: SparkSession, d: str) -> DataFrame:
+    """How often each document is used."""
+    return _mixed(spark, d)
+
+
+@query
+def p9_mix_report(spark: SparkSession, d: str) -> DataFrame:
+    """Wanted and reached share of the tokens for each source."""
+    return mix_report(cut(_mixed(spark, d)), table(spark, d, "mix_targets"))
+
+
 # -- problem 10 --------------------------------------------------------------------------------------------------------
 
 

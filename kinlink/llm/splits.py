@@ -27,33 +27,32 @@ HEAVY = 1000
 SHARD_COMPONENTS = 20_000
 
 
-def place(vectors: np.ndarray, lacking: np.ndarray) -> np.ndarray:
+def place(vectors: np.ndarray, lacking: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """Split of each component. vectors: components x labels (the last label counts all records);
     lacking: splits x labels, changed in place. Rarest outstanding label first, largest component first within it, into the split that
-    lacks that label most; ties go to the split that lacks most records, then to the first split."""
+    lacks that label most, in proportion to its share; ties go to the split that lacks most records in proportion, then to the first split.
+    A split without a share gets nothing."""
     n, labels = vectors.shape
     split = np.full(n, -1, dtype=np.int32)
     outstanding = vectors.sum(axis=0).astype(float)
     holders = [np.flatnonzero(vectors[:, k] > 0) for k in range(labels)]
-    holders = [h[np.lexsort((h, -vectors[h, k]))] for k, h in enumerate(holders)]
-    left = np.array([len(h) for h in holders])
+    holders = [h[np.lexsort((h, -vectors[h, -1], -vectors[h, k]))] for k, h in enumerate(holders)]
+    weight = np.where(shares > 0, 1 / np.where(shares > 0, shares, 1), 0)
+    barred = np.where(shares > 0, 0.0, -np.inf)
     done = np.zeros(labels, dtype=bool)
-    while True:
-        rare = [(outstanding[k], k) for k in range(labels) if not done[k] and left[k]]
-        if not rare:
-            break
+    while not done.all():
+        rare = [(outstanding[k], k) for k in range(labels) if not done[k]]
         k = min(rare)[1]
         for i in holders[k]:
             if split[i] >= 0:
                 continue
-            need = lacking[:, k]
-            best = np.flatnonzero(need == need.max())
-            s = int(best[np.argmax(lacking[best, -1])]) if len(best) > 1 else int(best[0])
+            need = lacking[:, k] * weight + barred
+            best = np.flatnonzero(need >= need.max() - 1e-9)
+            s = int(best[np.argmax((lacking[:, -1] * weight + barred)[best])])
             split[i] = s
             lacking[s] -= vectors[i]
             outstanding -= vectors[i]
         done[k] = True
-    split[split < 0] = int(np.argmax(lacking[:, -1]))
     return split
 
 
@@ -88,7 +87,7 @@ def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targ
     limit = max(1.0, total[-1] / HEAVY)
     heavy = vectors.where(F.col("size") > limit).toPandas().sort_values(["size", "component"], ascending=[False, True])  # fewer than HEAVY rows
     lacking = np.outer(shares, total)
-    placed = place(heavy[cols].to_numpy(float), lacking) if len(heavy) else np.zeros(0, int)
+    placed = place(heavy[cols].to_numpy(float), lacking, shares) if len(heavy) else np.zeros(0, int)
     spark = records.sparkSession
     where_heavy = spark.createDataFrame(
         [(c, names[s]) for c, s in zip(heavy["component"], placed)], "component string, split_name string"
@@ -97,10 +96,11 @@ def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targ
     shards = max(1, math.ceil(sums["n"] / SHARD_COMPONENTS))
 
     def one_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("component").reset_index(drop=True)
+        # ties in an order that has nothing to do with the names
+        pdf = pdf.assign(h=pd.util.hash_array(pdf["component"].to_numpy(object))).sort_values(["h", "component"]).reset_index(drop=True)
         v = pdf[cols].to_numpy(float)
         part = np.divide(v.sum(axis=0), light_total, out=np.zeros_like(light_total), where=light_total > 0)
-        split = place(v, lacking * part)
+        split = place(v, lacking * part, shares)
         return pd.DataFrame({"component": pdf["component"], "split_name": [names[s] for s in split]})
 
     light = vectors.where(F.col("size") <= limit).withColumn("shard", F.pmod(F.xxhash64("component"), F.lit(shards)))
