@@ -202,10 +202,11 @@ def parse(text: str | None) -> Address:
     if not street and rest:
         # no type at all: the word beside the number
         at = next((i for i, w in enumerate(words) if w[2] == "num"), None)
-        near_words = sorted(rest, key=lambda w: (abs(words.index(w) - at) if at is not None else 0, words.index(w)))
-        if len(near_words[0][0]) > 3:
-            street = near_words[0][0].rstrip(".")
-            rest.remove(near_words[0])
+        _, k = min((abs(i - at) if at is not None else 0, i) for i, w in enumerate(words) if w[2] == "word")
+        if len(words[k][0]) > 3:
+            street = words[k][0].rstrip(".")
+            words[k][2] = "street"
+            rest = [w for w in words if w[2] == "word"]
     names = [w[0] for w in rest]
     town = max((n for n in names if not n.endswith(".") and len(n) >= 7), key=len, default="")
     region = next((n.rstrip(".")[:3] for n in names if n != town and len(n.rstrip(".")) >= 3), "")
@@ -213,34 +214,46 @@ def parse(text: str | None) -> Address:
 
 
 def osa(a: str, b: str, most: int) -> int:
-    """Edit distance with transpositions of neighbours, or most + 1 where it is larger than most."""
+    """Edit distance with transpositions of neighbours, or most + 1 where it is larger than most. Only the band of the matrix within `most` of
+    the diagonal is computed: linear in the length for a fixed `most`."""
     if a == b:
         return 0
-    la, lb = len(a), len(b)
+    la, lb, over = len(a), len(b), most + 1
     if abs(la - lb) > most or not most:
-        return most + 1
+        return over
     two: list[int] = []
-    one = list(range(lb + 1))
+    one = [j if j <= most else over for j in range(min(lb, most) + 1)]  # columns lo..hi of the row before
+    lo1 = lo2 = 0
     for i in range(1, la + 1):
         ca = a[i - 1]
-        cur = [i] + [0] * lb
-        low = i
-        for j in range(1, lb + 1):
-            cb = b[j - 1]
-            v = one[j - 1] + (ca != cb)
-            if one[j] + 1 < v:
-                v = one[j] + 1
-            if cur[j - 1] + 1 < v:
-                v = cur[j - 1] + 1
-            if i > 1 and j > 1 and ca == b[j - 2] and a[i - 2] == cb and two[j - 2] + 1 < v:
-                v = two[j - 2] + 1
-            cur[j] = v
+        lo, hi = max(0, i - most), min(lb, i + most)
+        cur = []
+        n1, n2 = len(one), len(two)
+        low = left = over
+        for j in range(lo, hi + 1):
+            if j == 0:
+                v = i
+            else:
+                k = j - lo1
+                v = (one[k - 1] if 0 < k <= n1 else over) + (ca != b[j - 1])
+                if k < n1 and one[k] + 1 < v:
+                    v = one[k] + 1
+                if left + 1 < v:
+                    v = left + 1
+                if i > 1 and j > 1 and ca == b[j - 2] and a[i - 2] == b[j - 1]:
+                    k = j - 2 - lo2
+                    if 0 <= k < n2 and two[k] + 1 < v:
+                        v = two[k] + 1
+            if v > over:
+                v = over
             if v < low:
                 low = v
-        if low > most and min(one) > most:
-            return most + 1
-        two, one = one, cur
-    return min(one[lb], most + 1)
+            cur.append(v)
+            left = v
+        if low >= over and min(one) >= over:
+            return over
+        two, one, lo2, lo1 = one, cur, lo1, lo
+    return min(one[lb - lo1], over)
 
 
 def tolerance(a: str, b: str) -> int:

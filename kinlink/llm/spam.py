@@ -24,7 +24,11 @@ PHRASE = 2  # words of a phrase shingle: spam phrases are two or three words lon
 MIN_CHARS = 60  # a very short remark is no case
 HONEST, OPEN, SPAM, ECHO = 0, 1, 2, 3  # ECHO: a phrase comes twice; stuffing if it fills other segments too, else a turn of speech
 
-_URL = re.compile(r"(?:h(?:tt|xx)ps?://|www\.)\S+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*(?:\.(?:com|net|org|example|test|invalid|info|shop|biz|ru|io|co)\b)(?:/\S*)?|\b[\w-]+ (?:dot|\(dot\)|\[dot\]) [\w-]+(?:/\S*)?", re.IGNORECASE)
+_URL = re.compile(
+    r"(?:h(?:tt|xx)ps?://|www\.)\S+|(?<![a-z0-9.-])[a-z0-9-]{1,63}(?:\.[a-z0-9-]{1,63}){0,8}\.(?:com|net|org|example|test|invalid|info|shop|biz|ru|io|co)\b(?:/\S*)?"
+    r"|(?<![\w-])[\w-]{1,63} (?:dot|\(dot\)|\[dot\]) [\w-]{1,63}(?:/\S*)?",
+    re.IGNORECASE,
+)
 _TAG = re.compile(r"(?<!\S)[#@＃＠][^\s#@＃＠]+")
 _CODE = re.compile(r"(?<!\S)(?:[A-Z]{2,5}-?\d{3,}|[A-Z]\d{2,4}|\d+(?:cm|mm|kg|ml|w|l|g|m|in)|[^\s>]+>[^\s>]+|[^\W\d_]+:[^\s:/]+)(?=[\s,;|]|$)", re.IGNORECASE)
 _DECOR = re.compile(r"[>=*~|•!]{2,}|[•|»«★☆]")
