@@ -57,7 +57,7 @@ class FieldParser:
             if j < 0:
                 known[q] = i
                 return -1
-            if s.startswith(q, j + 1) and j > i + 1:
+            if s.startswith(q, j + 1):
                 j += 2
                 continue
             return j
