@@ -4,7 +4,7 @@
     wrapper   <- '[' list ']' / '{' list '}' / '(' list ')'
     list      <- (separator / item)*
     item      <- quoted / bare
-    quoted    <- q (list of two or more values) q / q value q          q: ' or ", doubled quotes stand for one
+    quoted    <- q (list of two or more values, or of one quoted value) q / q value q          q: ' or ", doubled quotes stand for one
     bare      <- any run up to the next separator, bracket or quote that opens an item
     separator <- , ; | / & tab, line break, their wide forms, runs of blanks, the word "and"
 
@@ -115,7 +115,7 @@ class FieldParser:
         if depth == 0 and (self.value is not None or "," in body):
             inner = self._list(body, 1)
             good = [x for x in inner if x[1] == OK]
-            if self.value is not None and len(good) >= 2 and len(good) == len(inner):
+            if self.value is not None and good and len(good) == len(inner) and (len(good) >= 2 or body.strip()[0] in _QUOTES):
                 return inner, j + 1
         text = body.strip()
         if self._fits(text, True):

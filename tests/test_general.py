@@ -41,6 +41,7 @@ PACKED = [
     ("S2-1,S3-2", ["S2-1", "S3-2"]), ('"S3-1,B",S2-2', ["S3-1,B", "S2-2"]), ('"S3-1,S2-2,S3-3"', ["S3-1", "S2-2", "S3-3"]), ('"S3-1|K"', ["S3-1|K"]),
     ('["S2-1", "S3-2;2"]', ["S2-1", "S3-2;2"]), ("{S2-1,S3-2}", ["S2-1", "S3-2"]), ("'S2-1';'S3-2'", ["S2-1", "S3-2"]), ("S2-1 and S2-2 & S2-3", ["S2-1", "S2-2", "S2-3"]),
     (" S2-1,,S2-1, ", ["S2-1", "S2-1"]), ('"""S3-1,B"",S2-2"', ["S3-1,B", "S2-2"]), ("none", []), ("NA", []), ("-", []), ("[]", []), ("", []), (" ", []), (None, []),
+    ('"""S3-1,A1"""', ["S3-1,A1"]), ('"S2-1,""S3-1,A1"",S2-2"', ["S2-1", "S3-1,A1", "S2-2"]),
     ("S2-1；S2-2、S2-3\tS2-4\r\nS2-5||S2-6 / S2-7", [f"S2-{i}" for i in range(1, 8)]),
 ]
 
