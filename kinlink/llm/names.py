@@ -206,7 +206,7 @@ def _close(a: str, b: str) -> bool:
     if spot > (3 if d == 2 else 5) or (d == 2 and abs(len(a) - len(b)) == 2):
         return True
     # in one spot: letters in another order are an error of typing, other letters are another name
-    x, y = list(a[i : len(a) - j]), a[i : len(b) - j]
+    x, y = list(a[i : len(a) - j]), b[i : len(b) - j]
     other = 0
     for ch in y:
         if ch in x:
@@ -257,6 +257,15 @@ def _words_match(a: list[str], b: list[str]) -> bool:
     return False
 
 
+def near_org(a: OrgName, b: OrgName) -> bool:
+    """Names that differ by at most three edits in all, trades not contradicting: enough where the place says the rest."""
+    if not a.words or not b.words or (a.trade and b.trade and a.trade != b.trade):
+        return False
+    ja, wb = a.words.replace(" ", ""), b.words.split()
+    orders = permutations(wb) if len(wb) <= 3 else [tuple(wb)]
+    return len(ja) >= 10 and any(osa(ja, "".join(p), 3) <= 3 for p in orders)
+
+
 def same_org(a: OrgName, b: OrgName) -> int:
     """0: different or not known. 2: the same, trade confirmed. 1: the same coined words, the trade not stated on one side."""
     if not a.words or not b.words or (a.trade and b.trade and a.trade != b.trade):
