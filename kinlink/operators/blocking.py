@@ -106,21 +106,20 @@ def key_hits(s1: DataFrame, target: DataFrame, config: BlockingConfig) -> DataFr
 
 
 def ngram_hits(s1: DataFrame, target: DataFrame, config: BlockingConfig) -> DataFrame:
-    """(s1_pos, t_pos, shared): pairs with enough shared rare grams."""
-    tp = postings(target, (NGRAM,))
-    rare = capped(key_frequency(tp), config)
-    sg = postings(s1, (NGRAM,)).join(rare.select("country", "key", "df"), ["country", "key"])
-    # the rarest grams first; r - required + 1 of them are enough to meet every pair with `required` shared ones
-    by_rarity = Window.partitionBy("pos").orderBy("df", "key")
-    need = s1.select("pos", required_grams(F.size("grams")).alias("required"))
-    ranked = sg.select("pos", "country", "key", F.row_number().over(by_rarity).alias("rank"), F.count("*").over(Window.partitionBy("pos")).alias("r")).join(need, "pos")
-    probe = ranked.where(F.col("rank") <= F.col("r") - F.col("required") + 1)
-    build = tp.select("country", "key", F.col("pos").alias("t_pos"))
-    pairs = probe.select("country", "key", F.col("pos").alias("s1_pos")).join(build, ["country", "key"]).select("s1_pos", "t_pos").distinct()
-    rare_of = sg.groupBy("pos").agg(F.collect_set("key").alias("rare")).join(need, "pos").select(F.col("pos").alias("s1_pos"), "rare", "required")
-    grams_of = target.select(F.col("pos").alias("t_pos"), "grams")
-    checked = pairs.join(rare_of, "s1_pos").join(grams_of, "t_pos").withColumn("shared", F.size(F.array_intersect("rare", "grams")))
-    return checked.where("shared >= required").select("s1_pos", "t_pos", "shared")
+    """(s1_pos, t_pos, shared): pairs with enough shared rare grams.
+
+    A record with fewer rare grams than it must share is left out before the join; of the others every rare gram is probed and the pairs
+    are counted, two positions and a counter a row."""
+    tp = postings(target, (NGRAM,)).select("pos", "country", "key")
+    df = tp.groupBy("country", "key").agg(F.count("*").alias("df"))
+    rare = df.where(F.col("df") <= config.caps[NGRAM]).select("country", "key") if NGRAM in config.caps else df.select("country", "key")
+    need = s1.select("pos", "country", "grams", required_grams(F.size("grams")).alias("required"))
+    sg = need.select("pos", "country", "required", F.explode("grams").alias("key")).join(rare, ["country", "key"])
+    able = sg.groupBy("pos").agg(F.count("*").alias("r"), F.first("required").alias("required")).where("r >= required")
+    probe = sg.select("pos", "country", "key").join(able.select("pos", "required"), "pos").withColumnRenamed("pos", "s1_pos")
+    build = tp.withColumnRenamed("pos", "t_pos")
+    counted = probe.join(build, ["country", "key"]).groupBy("s1_pos", "t_pos").agg(F.count("*").cast("int").alias("shared"), F.first("required").alias("required"))
+    return counted.where("shared >= required").select("s1_pos", "t_pos", "shared")
 
 
 def hits_by_family(s1: DataFrame, target: DataFrame, config: BlockingConfig) -> DataFrame:
@@ -138,20 +137,30 @@ def hits_by_family(s1: DataFrame, target: DataFrame, config: BlockingConfig) ->
 
 
 def candidate_positions(s1: DataFrame, target: DataFrame, config: BlockingConfig) -> DataFrame:
-    """(s1_pos, t_pos): union of all families; for each record a target id counts once, at its lowest position."""
-    pairs = hits_by_family(s1, target, config).select("s1_pos", "t_pos").distinct()
+    """(s1_pos, t_pos): union of all families; for each record a target id counts once, at its lowest position. One aggregation over pairs of
+    numbers removes repeats of every kind."""
+    fams = config.active()
+    parts = []
+    if any(f != NGRAM for f in fams):
+        parts.append(key_hits(s1, target, config).select("s1_pos", "t_pos"))
+    if NGRAM in fams:
+        parts.append(ngram_hits(s1, target, config).select("s1_pos", "t_pos"))
+    pairs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # the first position of an id stands for the id; only positions of ids that come several times are looked up
+    again = Window.partitionBy("id")
+    several = target.select("id", "pos").withColumn("no", F.min("pos").over(again)).where("pos <> no").select(F.col("pos").alias("t_pos"), "no")
     if config.fallback:
         none = s1.select("pos", "country", F.substring("name", 1, 1).alias("initial")).where("initial <> ''").join(pairs.select(F.col("s1_pos").alias("pos")), "pos", "left_anti")
         same = target.select("country", F.substring("name", 1, 1).alias("initial"), F.col("pos").alias("t_pos"))
         pairs = pairs.unionByName(none.join(same, ["country", "initial"]).select(F.col("pos").alias("s1_pos"), "t_pos"))
-    with_id = pairs.join(target.select(F.col("pos").alias("t_pos"), F.col("id").alias("target_id")), "t_pos")
-    return with_id.groupBy("s1_pos", "target_id").agg(F.min("t_pos").alias("t_pos")).select("s1_pos", "t_pos", "target_id")
+    numbered = pairs.join(several, "t_pos", "left").select("s1_pos", "t_pos", F.coalesce("no", "t_pos").alias("no"))
+    return numbered.groupBy("s1_pos", "no").agg(F.min("t_pos").alias("t_pos")).select("s1_pos", "t_pos")
 
 
 def generate_candidates(s1: DataFrame, target: DataFrame, config: BlockingConfig = BlockingConfig()) -> DataFrame:
     """(s1_id, target_id, s1_pos, t_pos): distinct pairs of ids with the lowest positions they were met at."""
     pos = candidate_positions(s1, target, config)
-    named = pos.join(s1.select(F.col("pos").alias("s1_pos"), F.col("id").alias("s1_id")), "s1_pos")
+    named = pos.join(s1.select(F.col("pos").alias("s1_pos"), F.col("id").alias("s1_id")), "s1_pos").join(target.select(F.col("pos").alias("t_pos"), F.col("id").alias("target_id")), "t_pos")
     return named.groupBy("s1_id", "target_id").agg(F.min("s1_pos").alias("s1_pos"), F.min("t_pos").alias("t_pos"))
 
 
