@@ -81,11 +81,25 @@ def _orders(words: list[str], most: int) -> list[tuple]:
     return list(permutations(words)) if len(words) <= most else [tuple(words)]
 
 
+def _build(index: list[tuple[int, OrgName]], lacking: bool) -> tuple[Trie, Trie]:
+    """Tries of the joined words and of their consonants, in both orders of two words; lacking: only of names without a trade."""
+    trie, thin = Trie(), Trie()
+    for k, (_, x) in enumerate(index):
+        if lacking and x.trade:
+            continue
+        for order in _orders(x.words.split(), 2):
+            j = "".join(order)
+            trie.add(j, k)
+            thin.add(bones(j), k)
+    return trie, thin
+
+
 def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (shard, salt, side): the index forms of a shard, then its queries."""
     here = None
     index: list[tuple[int, OrgName]] = []
-    trie = thin = None
+    bare: list[bool] = []  # has a word without vowels
+    tries: dict[bool, tuple[Trie, Trie]] = {}
     out: tuple[list, list, list] = ([], [], [])
 
     def flush() -> pa.RecordBatch:
@@ -98,20 +112,21 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "salt", "side", "form", "words", "given", "trade")]
         for shard, salt, side, form, words, given, trade in zip(*cols):
             if (shard, salt) != here:
-                here, index, trie, thin = (shard, salt), [], None, None
+                here, index, bare, tries = (shard, salt), [], [], {}
             name = OrgName(words, given, trade, "")
             if side == 0:
                 index.append((form, name))
+                bare.append(any(map(vowelless, words.split())))
                 continue
             if not index:
                 continue
-            if trie is None:
-                trie, thin = Trie(), Trie()
-                for k, (_, x) in enumerate(index):
-                    for order in _orders(x.words.split(), 2):
-                        j = "".join(order)
-                        trie.add(j, k)
-                        thin.add(bones(j), k)
+            # names of two or more words that state a trade meet each other in other shards; here they look for names without one
+            lacking = trade != 0 and shard[0] in "=#" and "|" in shard
+            if lacking not in tries:
+                tries[lacking] = _build(index, lacking)
+            trie, thin = tries[lacking]
+            if not trie.root:
+                continue
             mine = words.split()
             hits: set[int] = set()
             for order in _orders(mine, 3) if len(mine) > 2 else [tuple(mine)]:
@@ -119,7 +134,7 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hits |= trie.search(j, 1 if len(j) < 7 else 2 if len(j) < 14 else 3)
             joined = "".join(mine)
             thinned = bones(joined)
-            if any(map(vowelless, mine)) or len(joined) - len(thinned) < len(joined) // 3 or any(vowelless(w) for k in hits for w in index[k][1].words.split()):
+            if any(map(vowelless, mine)) or len(joined) - len(thinned) < len(joined) // 3 or any(bare[k] for k in hits):
                 hits |= thin.search(thinned, 1)
             else:
                 hits |= thin.search(thinned, 0)
