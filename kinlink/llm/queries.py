@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
-from kinlink.llm.entities import best_left, one_to_one, site_candidates
+from kinlink.llm.entities import best_sites, one_to_one, site_candidates
 from kinlink.llm.lookalike import look_col, lookalike_pairs
 from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.mixing import mix, mix_report
@@ -123,21 +123,20 @@ def p1_place_classes(spark: SparkSession, d: str) -> DataFrame:
 # -- problem 3 ---------------------------------------------------------------------------------------------------------
 
 
-def _site_candidates(spark: SparkSession, d: str) -> DataFrame:
+def _sites(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     known = table(spark, d, "train_matches").select(F.col("source1_entity_id").alias("entity_id"))
-    left = table(spark, d, "train_source1").join(known, "entity_id", "left_anti")
-    return cut(site_candidates(left, table(spark, d, "train_source2")))
+    return table(spark, d, "train_source1").join(known, "entity_id", "left_anti"), table(spark, d, "train_source2")
 
 
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return best_left(_site_candidates(spark, d)).select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"))
+    return best_sites(*_sites(spark, d)).select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"))
 
 
 @query
 def p3_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     """At most one source 2 record for each source 1 record, with the confidence."""
-    return one_to_one(_site_candidates(spark, d)).select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"), "confidence")
+    return one_to_one(site_candidates(*_sites(spark, d))).select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"), "confidence")
 
 
 # -- problem 5 ---------------------------------------------------------------------------------------------------------

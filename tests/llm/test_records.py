@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kinlink.llm.address import EMPTY, osa, parse, same_place
 from kinlink.llm.classes import link_classes
-from kinlink.llm.entities import best_left, one_to_one, site_candidates
+from kinlink.llm.entities import best_left, best_sites, one_to_one, site_candidates
 from kinlink.llm.names import NO_NAME, parse_name, same_org
 from kinlink.llm.neighbours import Gate, letter_mask, window_pairs
 from kinlink.llm.places import place_classes, place_pairs
@@ -233,3 +233,16 @@ def test_one_to_one_is_stable(spark):
     mate_a, mate_b = {a: edges[a, b] for a, b in got}, {b: edges[a, b] for a, b in got}
     for (a, b), c in edges.items():  # no pair is better than what both its ends got
         assert c <= mate_a.get(a, -1) or c <= mate_b.get(b, -1)
+
+
+def test_copies_of_a_site_take_one_place(spark):
+    """More copies on both sides than any window holds: all of them are paired."""
+    schema = "entity_id string, business_name string, business_address string, country string"
+    site = ("Habimenapi Kifolguta Dairy", "207 Gesvezir Road, Bimkithorpe, Stungo 87622", "US")
+    near = ("Habimenapi Kifolgata Dairies", "207 Gesvezir Rd, Bimkithorpe, Stungo 87622", "US")
+    left = spark.createDataFrame([(f"A{i:03d}", *site) for i in range(60)], schema)
+    right = spark.createDataFrame([(f"B{i:03d}", *(site if i % 2 else near)) for i in range(200)] + [("C", *site[:1], None, "US")], schema)
+    cand = site_candidates(left, right).cache()
+    assert cand.where("right_id <> 'C'").count() == 60 * 200
+    want = {("A000", f"B{i:03d}") for i in range(200)}
+    assert {(r.left_id, r.right_id) for r in best_sites(left, right).collect()} == want == {(r.left_id, r.right_id) for r in best_left(cand).collect()}
