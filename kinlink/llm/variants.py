@@ -3,7 +3,7 @@
 Names are parsed, and equal part lists become one form. A form goes to a few shards: the first and last consonants of each of its
 words and of all of them together, with the trade; and, for names without a trade, of all words at once. A typing error, a
 dropped vowel, a joined, parted or moved word leaves at least one of these keys as it was. Each shard builds a trie of the joined words of its
-index forms in both orders of the words (and a second one of their consonants), and walks it with a Levenshtein automaton for every query form; what
+forms in all orders of the words (and a second one of their consonants), and walks it with a Levenshtein automaton for every longer form; what
 is found is compared by parts, over all orders of the words (names.same_org). A shard with more forms than a task should
 hold is cut into a grid of index parts and query parts, so no form is left out and no shard is bound to one task.
 """
@@ -77,29 +77,57 @@ def with_names(df: DataFrame, text_col: str, keys: bool = False) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _orders(words: list[str], most: int) -> list[tuple]:
-    return list(permutations(words)) if len(words) <= most else [tuple(words)]
+def _orders(words: list[str]) -> list[str]:
+    """The words joined in every order; more than three in the written one."""
+    return ["".join(p) for p in permutations(words)] if len(words) <= 3 else ["".join(words)]
 
 
-def _build(index: list[tuple[int, OrgName]], lacking: bool) -> tuple[Trie, Trie]:
-    """Tries of the joined words and of their consonants, in both orders of two words; lacking: only of names without a trade."""
-    trie, thin = Trie(), Trie()
-    for k, (_, x) in enumerate(index):
-        if lacking and x.trade:
-            continue
-        for order in _orders(x.words.split(), 2):
-            j = "".join(order)
-            trie.add(j, k)
-            thin.add(bones(j), k)
-    return trie, thin
+def _weak(words: list[str]) -> bool:
+    """Has a word without vowels, or few vowels in all."""
+    joined = "".join(words)
+    return any(map(vowelless, words)) or len(joined) - len(bones(joined)) < len(joined) // 3
+
+
+class _Tries:
+    """Index forms as tries of their joined words in all orders (long: of more than three words, in the written order) and of
+    their consonants (weak: of forms short of vowels)."""
+
+    __slots__ = ("whole", "long", "thin", "weak")
+
+    def __init__(self) -> None:
+        self.whole, self.long, self.thin, self.weak = Trie(), Trie(), Trie(), Trie()
+
+    def add(self, words: list[str], weak: bool, k: int) -> None:
+        for j in _orders(words):
+            (self.whole if len(words) <= 3 else self.long).add(j, k)
+            thin = bones(j)
+            self.thin.add(thin, k)
+            if weak:
+                self.weak.add(thin, k)
+
+    def search(self, words: list[str], weak: bool, bare: list[bool]) -> set[int]:
+        joined = "".join(words)
+        most = 1 if len(joined) < 7 else 2 if len(joined) < 14 else 3
+        hits = self.whole.search(joined, most)
+        if self.long.root:
+            for j in _orders(words):
+                hits |= self.long.search(j, most)
+        thin = bones(joined)
+        if weak or any(bare[k] for k in hits):
+            return hits | self.thin.search(thin, 1)
+        return hits | self.thin.search(thin, 0) | self.weak.search(thin, 1)
+
+
+ANY = -1  # tries of the forms of all trades
 
 
 def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shard, salt, side): the index forms of a shard, then its queries."""
+    """Rows sorted by (shard, salt, size, form). Each asks for the forms before it (role 1 and 2) and is then searched by
+    those after it (role 0 and 2): two forms meet once, and the longer one asks, with the wider bound."""
     here = None
     index: list[tuple[int, OrgName]] = []
     bare: list[bool] = []  # has a word without vowels
-    tries: dict[bool, tuple[Trie, Trie]] = {}
+    tries: dict[int, _Tries] = {}
     out: tuple[list, list, list] = ([], [], [])
 
     def flush() -> pa.RecordBatch:
@@ -109,43 +137,32 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return made
 
     for batch in batches:
-        cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "salt", "side", "form", "words", "given", "trade")]
-        for shard, salt, side, form, words, given, trade in zip(*cols):
+        cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "salt", "role", "form", "words", "given", "trade")]
+        for shard, salt, role, form, words, given, trade in zip(*cols):
             if (shard, salt) != here:
                 here, index, bare, tries = (shard, salt), [], [], {}
-            name = OrgName(words, given, trade, "")
-            if side == 0:
+            name, mine = OrgName(words, given, trade, ""), words.split()
+            weak = _weak(mine)
+            if role and index:
+                hits: set[int] = set()
+                # names of two or more words that state a trade meet each other in other shards; here they look for names without one
+                lacking = trade != 0 and shard[0] in "=#" and "|" in shard
+                for t in (0,) if lacking else (trade or ANY, 0):
+                    if t in tries:
+                        hits |= tries[t].search(mine, weak, bare)
+                for k in hits:
+                    other, x = index[k]
+                    if other != form:
+                        score = same_org(x, name)
+                        if score:
+                            out[0].append(min(other, form))
+                            out[1].append(max(other, form))
+                            out[2].append(score)
+            if role != 1:
+                for t in (trade, ANY) if trade and shard[0] in "=#*" else (trade,):
+                    tries.setdefault(t, _Tries()).add(mine, weak, len(index))
                 index.append((form, name))
-                bare.append(any(map(vowelless, words.split())))
-                continue
-            if not index:
-                continue
-            # names of two or more words that state a trade meet each other in other shards; here they look for names without one
-            lacking = trade != 0 and shard[0] in "=#" and "|" in shard
-            if lacking not in tries:
-                tries[lacking] = _build(index, lacking)
-            trie, thin = tries[lacking]
-            if not trie.root:
-                continue
-            mine = words.split()
-            hits: set[int] = set()
-            for order in _orders(mine, 3) if len(mine) > 2 else [tuple(mine)]:
-                j = "".join(order)
-                hits |= trie.search(j, 1 if len(j) < 7 else 2 if len(j) < 14 else 3)
-            joined = "".join(mine)
-            thinned = bones(joined)
-            if any(map(vowelless, mine)) or len(joined) - len(thinned) < len(joined) // 3 or any(bare[k] for k in hits):
-                hits |= thin.search(thinned, 1)
-            else:
-                hits |= thin.search(thinned, 0)
-            for k in hits:
-                other, x = index[k]
-                if other != form:
-                    score = same_org(x, name)
-                    if score:
-                        out[0].append(min(other, form))
-                        out[1].append(max(other, form))
-                        out[2].append(score)
+                bare.append(any(map(vowelless, mine)))
             if len(out[0]) > 20_000:
                 yield flush()
     if out[0]:
@@ -153,40 +170,38 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def form_links(forms: DataFrame) -> DataFrame:
-    """(a, b, score) between forms(form, words, given, trade, shards, indexed): at least one end is indexed."""
+    """(a, b, score) between any two of forms(form, words, given, trade, shards)."""
     spark = forms.sparkSession
     n = shuffle_partitions(spark)
-    # all forms ask; indexed forms are also searched
-    roles = F.when(F.col("indexed"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-    rows = forms.withColumn("shard", F.explode("shards")).drop("shards").withColumn("side", F.explode(roles)).drop("indexed")
-    sizes = rows.groupBy("shard").agg(F.sum((F.col("side") == 0).cast("long")).alias("ni"), F.count("*").alias("nq"))
-    big = cut(sizes.where((F.col("ni") > INDEX_PART) | (F.col("nq") - F.col("ni") > QUERY_PART)))
+    rows = forms.withColumn("shard", F.explode("shards")).drop("shards").withColumn("size", F.length(F.replace("words", F.lit(" "), F.lit(""))))
+    sizes = rows.groupBy("shard").agg(F.count("*").alias("n"))
+    big = cut(sizes.where(F.col("n") > min(INDEX_PART, QUERY_PART)))
     if big.limit(1).count():
         rows = rows.join(big, "shard", "left")
-        pi = F.coalesce(F.ceil(F.col("ni") / INDEX_PART), F.lit(1)).cast("int")
-        pq = F.coalesce(F.ceil((F.col("nq") - F.col("ni")) / QUERY_PART), F.lit(1)).cast("int")
-        mine = F.pmod(F.xxhash64("form"), F.when(F.col("side") == 0, pi).otherwise(F.greatest(pq, F.lit(1)))).cast("int")
-        across = F.sequence(F.lit(0), F.when(F.col("side") == 0, F.greatest(pq, F.lit(1))).otherwise(F.greatest(pi, F.lit(1))) - 1)
+        # in a shard that is cut, a form is searched in the cells of its index part and asks in those of its query part
+        rows = rows.withColumn("role", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))))
+        pi = F.coalesce(F.ceil(F.col("n") / INDEX_PART), F.lit(1)).cast("int")
+        pq = F.coalesce(F.ceil(F.col("n") / QUERY_PART), F.lit(1)).cast("int")
+        mine = F.pmod(F.xxhash64("form"), F.when(F.col("role") == 0, pi).otherwise(pq)).cast("int")
+        across = F.sequence(F.lit(0), F.when(F.col("role") == 0, pq).otherwise(pi) - 1)
         # index part i meets query part q in cell i * pq + q
-        cell = F.transform(across, lambda x: F.when(F.col("side") == 0, mine * F.greatest(pq, F.lit(1)) + x).otherwise(x * F.greatest(pq, F.lit(1)) + mine))
-        rows = rows.withColumn("salt", F.explode(cell)).drop("ni", "nq")
+        cell = F.transform(across, lambda x: F.when(F.col("role") == 0, mine * pq + x).otherwise(x * pq + mine))
+        rows = rows.withColumn("salt", F.explode(cell)).drop("n")
     else:
-        rows = rows.withColumn("salt", F.lit(0))
-    placed = rows.select("shard", "salt", "side", "form", "words", "given", "trade").repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "side")
+        rows = rows.withColumn("role", F.lit(2)).withColumn("salt", F.lit(0))
+    placed = rows.select("shard", "salt", "size", "form", "role", "words", "given", "trade").repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "size", "form")
     return placed.mapInArrow(_join_shards, "a bigint, b bigint, score int").groupBy("a", "b").agg(F.max("score").alias("score"))
 
 
 def name_classes(left: DataFrame, right: DataFrame) -> DataFrame:
     """(text, cls) for each distinct name of left(text) and right(text) with words in it.
 
-    left is indexed; both ask. Nulls, blanks and placeholders, and names of nothing but legal forms and trades, are in no class.
+    All names are compared with all, those of one table too. Nulls, blanks and placeholders, and names of nothing but legal forms and trades,
+    are in no class.
     """
-    texts = left.select("text", F.lit(True).alias("indexed")).unionByName(right.select("text", F.lit(False).alias("indexed")))
-    texts = texts.where(~missing("text")).groupBy("text").agg(F.max("indexed").alias("indexed"))
+    texts = left.select("text").unionByName(right.select("text")).where(~missing("text")).distinct()
     parsed = cut(with_names(texts, "text", keys=True).where("words <> ''").withColumn("form", F.xxhash64("words", "given", "trade")))
-    forms = parsed.groupBy("form").agg(
-        F.first("words").alias("words"), F.first("given").alias("given"), F.first("trade").alias("trade"), F.first("shards").alias("shards"), F.max("indexed").alias("indexed")
-    )
+    forms = parsed.groupBy("form").agg(F.first("words").alias("words"), F.first("given").alias("given"), F.first("trade").alias("trade"), F.first("shards").alias("shards"))
     links = cut(form_links(forms))
     classes = link_classes(forms.select(F.col("form").alias("node")), links)
     return parsed.select("text", "form").join(classes.select(F.col("node").alias("form"), "cls"), "form").select("text", "cls")

@@ -191,6 +191,16 @@ def test_variant_pairs(spark):
     assert name_classes(a.limit(0), b.limit(0)).count() == 0
 
 
+def test_variants_of_the_right_table_alone(spark):
+    """Spellings that only the right table has are one class, and tie a left name to spellings too far from it."""
+    a = spark.createDataFrame([("a", "Nekiravaro Nirarginpo Laboratories")], "id string, text string")
+    names = ["Nekiravato Nirarginpo Laboratories", "Nekiravato Nirargonp Laboratories", "Wolmerata Kestunipo Seeds", "Wolmerata Kestunibo Seeds", "Wolmerata Kestunipu Seeds"]
+    b = spark.createDataFrame([(f"b{i}", n) for i, n in enumerate(names)], "id string, text string")
+    cls = {r.text: r.cls for r in name_classes(a, b).collect()}
+    assert len({cls[n] for n in names[2:]}) == 1
+    assert cls[names[0]] == cls[names[1]] == cls["Nekiravaro Nirarginpo Laboratories"] != cls[names[2]]
+
+
 def test_hot_shards_lose_nothing(spark, monkeypatch):
     """Shards cut into a grid of small parts give the same links as whole ones."""
     from kinlink.llm import variants
