@@ -1,7 +1,7 @@
 """Variant spellings of one organisation's name (problem 5): a sharded trie join.
 
 Names are parsed, and equal part lists become one form. A form goes to a few shards: the first and last consonants of each of its
-words and of all of them together, with the trade; and, for names without a trade, of all words at once. A typing error, a
+words and of all of them together, with the trade; and of all words at once, where the names without a trade are met. A typing error, a
 dropped vowel, a joined, parted or moved word leaves at least one of these keys as it was. Each shard builds a trie of the joined words of its
 forms in all orders of the words (and a second one of their consonants), and walks it with a Levenshtein automaton for every longer form; what
 is found is compared by parts, over all orders of the words (names.same_org). A shard with more forms than a task should
@@ -145,9 +145,7 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weak = _weak(mine)
             if role and index:
                 hits: set[int] = set()
-                # names of two or more words that state a trade meet each other in other shards; here they look for names without one
-                lacking = trade != 0 and shard[0] in "=#" and "|" in shard
-                for t in (0,) if lacking else (trade or ANY, 0):
+                for t in (trade or ANY, 0):  # a name that states a trade fits those of its own and those without one
                     if t in tries:
                         hits |= tries[t].search(mine, weak, bare)
                 for k in hits:

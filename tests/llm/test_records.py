@@ -201,6 +201,14 @@ def test_variants_of_the_right_table_alone(spark):
     assert cls[names[0]] == cls[names[1]] == cls["Nekiravaro Nirarginpo Laboratories"] != cls[names[2]]
 
 
+def test_names_of_a_trade_meet_in_the_shards_of_all_words(spark):
+    """Short reordered words, and words with an error in the fourth of four consonants each, share no shard of the trade."""
+    left, right = ["Reno Lima Foods", "Kanbota Gedbova Motors"], ["Lima Reno Foods", "Kanbosa Gedboga Motors"]
+    a, b = (spark.createDataFrame([(str(i), n) for i, n in enumerate(x)], "id string, text string") for x in (left, right))
+    got = {tuple(r) for r in variant_pairs(a, b, name_classes(a, b)).collect()}
+    assert got == {("0", "0"), ("1", "1")}
+
+
 def test_hot_shards_lose_nothing(spark, monkeypatch):
     """Shards cut into a grid of small parts give the same links as whole ones."""
     from kinlink.llm import variants
