@@ -8,6 +8,7 @@ coined words must agree up to typing errors, dropped vowels, joined or parted wo
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import permutations
 from typing import NamedTuple
@@ -236,10 +237,50 @@ def _word(a: str, b: str) -> bool:
     return _close(a, b) or (min(len(a), len(b)) >= 6 and a.replace("a", "") == b.replace("a", ""))
 
 
+def _assigned(a: list[str], b: list[str]) -> bool:
+    """Each word of a stands for another one of b, in any order: a flow between the distinct words."""
+    left, free = Counter(a), Counter(b)
+    fit = {x: sorted((y for y in free if _word(x, y)), key=lambda y: y != x) for x in left}
+    if not all(fit.values()):
+        return False
+    flow: Counter = Counter()
+    for x, need in left.items():
+        while need:
+            via, back, queue, end = {}, {x: None}, [x], None
+            for u in queue:
+                for y in fit[u]:
+                    if y not in via:
+                        via[y] = u
+                        if free[y]:
+                            end = y
+                            break
+                        for v in left:
+                            if v not in back and flow[v, y]:
+                                back[v] = y
+                                queue.append(v)
+                if end is not None:
+                    break
+            if end is None:
+                return False
+            path, y, most = [], end, min(need, free[end])
+            while y is not None:
+                u = via[y]
+                path.append((u, y, 1))
+                y = back[u]
+                if y is not None:
+                    path.append((u, y, -1))
+                    most = min(most, flow[u, y])
+            for u, y, sign in path:
+                flow[u, y] += sign * most
+            free[end] -= most
+            need -= most
+    return True
+
+
 def _words_match(a: list[str], b: list[str]) -> bool:
     if len(a) == len(b):
         if len(a) > 3:
-            return _word("".join(a), "".join(b))
+            return _word("".join(a), "".join(b)) or _assigned(a, b)
         if any(all(_word(x, y) for x, y in zip(a, p)) for p in permutations(b)):
             return True
     ja = "".join(a)

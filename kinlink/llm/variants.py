@@ -10,6 +10,7 @@ hold is cut into a grid of index parts and query parts, so no form is left out a
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -90,12 +91,12 @@ def _weak(words: list[str]) -> bool:
 
 class _Tries:
     """Index forms as tries of their joined words in all orders (long: of more than three words, in the written order) and of
-    their consonants (weak: of forms short of vowels)."""
+    their consonants (weak: of forms short of vowels); forms of more than three words also by single words, for other orders."""
 
-    __slots__ = ("whole", "long", "thin", "weak")
+    __slots__ = ("whole", "long", "thin", "weak", "words", "bones")
 
     def __init__(self) -> None:
-        self.whole, self.long, self.thin, self.weak = Trie(), Trie(), Trie(), Trie()
+        self.whole, self.long, self.thin, self.weak, self.words, self.bones = Trie(), Trie(), Trie(), Trie(), Trie(), Trie()
 
     def add(self, words: list[str], weak: bool, k: int) -> None:
         for j in _orders(words):
@@ -104,14 +105,31 @@ class _Tries:
             self.thin.add(thin, k)
             if weak:
                 self.weak.add(thin, k)
+        if len(words) > 3:
+            for w in set(words):
+                self.words.add(w, k)
+                self.bones.add(bones(w), k)
+
+    def _by_word(self, words: set[str]) -> set[int]:
+        """Forms that have a like word for all of words but one (a given name not known as such)."""
+        found: Counter = Counter()
+        for w in words:
+            n, b = len(w), bones(w)
+            # one more than names.py allows: a swap of letters is two edits here
+            found.update(self.words.search(w, 0 if n < 4 else 2 if n < 7 else 3 if n < 14 else 4) | self.bones.search(b, 2 if len(b) >= 6 else 0))
+        return {k for k, c in found.items() if c >= len(words) - 1}
 
     def search(self, words: list[str], weak: bool, bare: list[bool]) -> set[int]:
         joined = "".join(words)
         most = 1 if len(joined) < 7 else 2 if len(joined) < 14 else 3
-        hits = self.whole.search(joined, most)
+        hits: set[int] = set()
+        for j in _orders(words) if len(words) == 3 else [joined]:  # two of three words may be one in the other form
+            hits |= self.whole.search(j, most)
         if self.long.root:
             for j in _orders(words):
                 hits |= self.long.search(j, most)
+            if len(words) > 3:
+                hits |= self._by_word(set(words))
         thin = bones(joined)
         if weak or any(bare[k] for k in hits):
             return hits | self.thin.search(thin, 1)

@@ -209,6 +209,15 @@ def test_names_of_a_trade_meet_in_the_shards_of_all_words(spark):
     assert got == {("0", "0"), ("1", "1")}
 
 
+def test_longer_names_in_another_order(spark):
+    left = ["Zebuquor Lastinum Wolmerat Kestunip Motors", "Gorvim Nadsul Tepruk Foods"]
+    right = ["Kestunip Wolmerot Zebuquor Lastinum Motors", "Tepruknadsul Gorvim Foods"]
+    a, b = (spark.createDataFrame([(str(i), n) for i, n in enumerate(x)], "id string, text string") for x in (left, right))
+    got = {tuple(r) for r in variant_pairs(a, b, name_classes(a, b)).collect()}
+    assert got == {("0", "0"), ("1", "1")}
+    assert same_org(parse_name(left[0]), parse_name("Kestunip Wolmerot Zebuquor Zebuquor Motors")) == 0
+
+
 def test_hot_shards_lose_nothing(spark, monkeypatch):
     """Shards cut into a grid of small parts give the same links as whole ones."""
     from kinlink.llm import variants
