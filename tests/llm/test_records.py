@@ -273,3 +273,9 @@ def test_copies_of_a_site_take_one_place(spark):
     assert cand.where("right_id <> 'C'").count() == 60 * 200
     want = {("A000", f"B{i:03d}") for i in range(200)}
     assert {(r.left_id, r.right_id) for r in best_sites(left, right).collect()} == want == {(r.left_id, r.right_id) for r in best_left(cand).collect()}
+
+
+def test_one_to_one_leaves_nobody_of_a_large_group_of_equals(spark):
+    pairs = spark.range(70).select(F.col("id").alias("left_id")).crossJoin(spark.range(70).select(F.col("id").alias("right_id"))).withColumn("confidence", F.lit(0.9))
+    got = one_to_one(pairs).collect()
+    assert len(got) == len({r.left_id for r in got}) == len({r.right_id for r in got}) == 70
