@@ -555,9 +555,9 @@ _EXACT_CAND = f"{q.hits((0, 1))}, {q.CANDIDATES}, named AS (SELECT DISTINCT s.id
 _MISSED = f"{_EXACT_CAND}, {_REPORT_CTE.removeprefix('WITH ')} SELECT {', '.join(dg.REPORT)} FROM m ANTI JOIN named ON named.s1_id = s1_entity_id AND named.target_id = target_entity_id"
 
 
-def _missed(spark: SparkSession, d: str) -> DataFrame:
+def _missed(spark: SparkSession, d: str, families: tuple[int, ...] | None = (bl.EXACT_NAME, bl.EXACT_CORE)) -> DataFrame:
     x, y = both_features(spark, d)
-    found = bl.generate_candidates(x, y, _config((bl.EXACT_NAME, bl.EXACT_CORE)))
+    found = bl.generate_candidates(x, y, _config(families))
     a, b = _described_pairs(spark, d)
     return dg.missed_pairs_report(truth(spark, d), found, a, b)
 
@@ -573,6 +573,17 @@ def agg_value_counts(spark: SparkSession, d: str) -> DataFrame:
     return dg.reason_counts(_missed(spark, d))
 
 
+@query("missed_pairs_report_full")
+def missed_pairs_report_full(spark: SparkSession, d: str) -> DataFrame:
+    """Truth pairs that blocking by all families of version 1 at the default caps misses."""
+    return _missed(spark, d, None)
+
+
+@query("agg_value_counts_full")
+def agg_value_counts_full(spark: SparkSession, d: str) -> DataFrame:
+    return dg.reason_counts(_missed(spark, d, None))
+
+
 def _sources(spark: SparkSession, d: str) -> list[DataFrame]:
     return [table(spark, d, t) for t in ("train_matches", "train_source1", "train_source2", "train_source3")]
 

@@ -40,6 +40,16 @@ def test_against_sql(spark, name):
     assert norm(a) == norm(b)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_missed_pairs_of_all_families(spark):
+    """Pairs that any family finds are not reported."""
+    import __spark_entry__ as e
+
+    ids = ["s1_entity_id", "target_entity_id"]
+    exact, full = ({tuple(r) for r in e.queries()[n](spark, SF).select(*ids).collect()} for n in ("missed_pairs_report", "missed_pairs_report_full"))
+    assert full < exact
+
+
 def _tables(spark):
     names = [("Acme Foods Ltd", "12 Main Road Springfield"), ("Zenith Steel", "7 Lake View Rivertown"), ("Blue Bird Cafe", "99 Hill Crest Oldham"), ("Orbit Motors Inc", "5 Station Yard Derby")]
     schema = "pos long, entity_id string, business_name string, business_address string, country string"
