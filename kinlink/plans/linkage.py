@@ -31,7 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 MODE = "latin"
 LOW_CAP = 50
-TREES = 10  # boosting rounds of the model queries; the operators' default is 250
 
 
 def query(name: str, sql: str | None = None):
@@ -688,7 +687,7 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
 def _model_query(name: str, kind: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
         rows = _labelled(spark, d)
-        model, _ = md.train(rows, kind, maxIter=TREES)
+        model, _ = md.train(rows, kind)
         return md.score(model, rows).select("s1_id", "target_id", "label", "probability")
 
     query(name)(run)
@@ -701,13 +700,13 @@ _model_query("train_xgboost", "xgboost")
 @query("predict_match")
 def predict_match(spark: SparkSession, d: str) -> DataFrame:
     rows = _labelled(spark, d)
-    model, _ = md.train(rows, maxIter=TREES)
+    model, _ = md.train(rows)
     return md.predict_match(model, rows).select("s1_id", "target_id", "probability")
 
 
 @query("train_summary", SQL["agg_class_balance"].replace("SELECT sum(label)::BIGINT AS positives, sum(1 - label)::BIGINT AS negatives, round(CASE WHEN sum(label) > 0 THEN sum(1 - label)::DOUBLE / sum(label)::DOUBLE ELSE 1.0 END, 6) AS weight FROM l", "SELECT count(*) AS pairs, sum(label)::BIGINT AS positives, 'histgb' AS model FROM l"))
 def train_summary(spark: SparkSession, d: str) -> DataFrame:
-    _, s = md.train(_labelled(spark, d), maxIter=1)
+    _, s = md.train(_labelled(spark, d))
     return spark.createDataFrame([(s["pairs"], s["positives"], s["model"])], "pairs bigint, positives bigint, model string")
 
 
@@ -715,7 +714,7 @@ def train_summary(spark: SparkSession, d: str) -> DataFrame:
 def sink_model(spark: SparkSession, d: str) -> DataFrame:
     """Saved, loaded again and applied."""
     rows = _labelled(spark, d)
-    model, summary = md.train(rows, maxIter=2)
+    model, summary = md.train(rows)
     path = f"{ensure_checkpoint_dir(spark)}/model"
     md.save_model(model, path, summary)
     again, _ = md.load_model(spark, path)
@@ -725,6 +724,6 @@ def sink_model(spark: SparkSession, d: str) -> DataFrame:
 @query("threshold_scan")
 def threshold_scan(spark: SparkSession, d: str) -> DataFrame:
     rows = _labelled(spark, d)
-    model, _ = md.train(rows, maxIter=TREES)
+    model, _ = md.train(rows)
     scored = cut(md.score(model, rows).select("s1_id", "target_id", "probability"))
     return md.threshold_scan(scored, _truth_and_predicted(spark, d)[0], [0.5, 0.6, 0.7, 0.8, 0.9])

@@ -50,6 +50,24 @@ def test_missed_pairs_of_all_families(spark):
     assert full < exact
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["train_histgb", "train_xgboost", "predict_match", "train_summary", "sink_model", "threshold_scan"])
+def test_model_queries_train_with_the_default_rounds(spark, monkeypatch, name):
+    from kinlink.plans import linkage
+
+    class Seen(Exception):
+        pass
+
+    def train(rows, kind="histgb", **overrides):
+        raise Seen(overrides)
+
+    monkeypatch.setattr(linkage.md, "train", train)
+    monkeypatch.setattr(linkage, "_labelled", lambda *_: None)
+    with pytest.raises(Seen) as got:
+        linkage.QUERIES[name](spark, SF)
+    assert got.value.args == ({},)
+
+
 def _tables(spark):
     names = [("Acme Foods Ltd", "12 Main Road Springfield"), ("Zenith Steel", "7 Lake View Rivertown"), ("Blue Bird Cafe", "99 Hill Crest Oldham"), ("Orbit Motors Inc", "5 Station Yard Derby")]
     schema = "pos long, entity_id string, business_name string, business_address string, country string"
