@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,12 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a local one only where the setting is absent (tests)."""
+    """The shared folder named by spark.checkpoint.dir. Where the setting is absent, a folder of this machine serves a local
+    session (tests); on a cluster, whose executors could not read it, that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     wanted = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not wanted and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(wanted or tempfile.mkdtemp(prefix="kinlink-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -29,5 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut(), as a table in that folder: compressed and read by column, for wide rows of which later stages need a part."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
