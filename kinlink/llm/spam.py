@@ -1,10 +1,13 @@
 """Keyword-stuffed texts and lists of links or product tags (problem 10).
 
-A text is cut into segments (lines, sentences). List-density evidence, from the segment alone, tells lists of links,
-tags, codes and short items and repeated phrases from sentences; what the segment alone leaves open is settled by phrases: the shingles of
-all segments of all documents are exploded, the distinct hosts (shops) on which each stands in lists and in sentences are
-counted, and an open segment is stitched spam if most of its phrases stand in lists of several hosts and seldom in
-sentences. A text is flagged if more than half of its characters are in such segments.
+Texts are stitched from phrases: the shingles of two words inside each item (spam phrases are two or three words long). All
+phrases of all texts are exploded, and the distinct hosts (shops) on which each stands in lists are counted, as well as the texts that
+have it in lists and in sentences. A stock phrase stands in lists of several hosts and more often in lists than in sentences: honest
+reviews share most of their phrases with others too, but in sentences. A segment is stitched if stock phrases cover most of its words. A text
+is flagged if more than half of its characters are in stitched segments and more than half in segments that are no plain
+sentences: replicated phrases joined with list density, neither of them alone.
+
+So that phrases of different pages can be the same, links, tags, codes and the words a page repeats all over are written as one mark each.
 """
 
 from __future__ import annotations
@@ -12,231 +15,186 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.session import cut
+from kinlink.session import stored
 
-PHRASE = 2  # words of a phrase shingle: spam phrases are two or three words long
 MIN_CHARS = 60  # a very short remark is no case
-HONEST, OPEN, SPAM, ECHO = 0, 1, 2, 3  # ECHO: a phrase comes twice; stuffing if it fills other segments too, else a turn of speech
-
-_URL = re.compile(
-    r"(?:h(?:tt|xx)ps?://|www\.)\S+|(?<![a-z0-9.-])[a-z0-9-]{1,63}(?:\.[a-z0-9-]{1,63}){0,8}\.(?:com|net|org|example|test|invalid|info|shop|biz|ru|io|co)\b(?:/\S*)?"
-    r"|(?<![\w-])[\w-]{1,63} (?:dot|\(dot\)|\[dot\]) [\w-]{1,63}(?:/\S*)?",
-    re.IGNORECASE,
+MIN_HOSTS_TEXTS = 2  # a phrase of a single text is replicated nowhere
+SENTENCE, OPEN, LIST = 0, 1, 2
+LINK, TAG, CODE, OWN = "\x02", "\x03", "\x04", "\x05"
+
+_MAYBE_LINK = re.compile(r"://|www\.|[a-z0-9]\.[a-z]{2}|[ (\[]dot[ )\]]")
+_LINK = re.compile(
+    r"(?:h(?:tt|xx)ps?://|www\.)[^\s\"'<>|)\]]+"
+    r"|(?<![\w.-])[a-z0-9-]{2,63}(?:\.[a-z0-9-]{1,63}){0,8}\.(?:com|net|org|example|test|invalid|info|shop|biz|ru|io|co)\b(?:/[^\s\"'<>|)\]]*)?"
+    r"|(?<![\w-])[\w-]{2,63} (?:dot|\(dot\)|\[dot\]) [\w-]{2,63}(?:\.[a-z]+)?(?:/[^\s\"'<>|)\]]*)?"
 )
-_TAG = re.compile(r"(?<!\S)[#@＃＠][^\s#@＃＠]+")
-_CODE = re.compile(r"(?<!\S)(?:[A-Z]{2,5}-?\d{3,}|[A-Z]\d{2,4}|\d+(?:cm|mm|kg|ml|w|l|g|m|in)|[^\s>]+>[^\s>]+|[^\W\d_]+:[^\s:/]+)(?=[\s,;|]|$)", re.IGNORECASE)
-_DECOR = re.compile(r"[>=*~|•!]{2,}|[•|»«★☆]")
+_TAG = re.compile(r"(?<!\S)[#@＃＠][^\s#@＃＠,;|]+")
+_MAYBE_CODE = re.compile(r"\d|[>:]\w")
+_CODE = re.compile(r"(?<!\S)(?:[a-z]{2,5}-\d{3,}|[a-z]\d{2,4}|\d+(?:cm|mm|kg|ml|w|l|g|m|in))(?=[\s,;|/]|$)|(?<=[^\W\d_])[>:](?=[^\W\d_])")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_CJK_PAIR = re.compile("([぀-ヿ㐀-鿿가-힯]{1,2})")
 _END = re.compile(r"(?<=[.!?।])[\"')\]]*\s+|(?<=[。！？])|\n+")
-_ITEM = re.compile(r"\s*(?:[,;|•*、/]|\s[-–—*+]\s|>{2,}|={2,}|!{2,})\s*")
-_CJK = re.compile("[぀-ヿ㐀-鿿가-힯]")
-_STRIP = ".,;:!?\"'()[]{}<>*|+-–—=~•/\\।。、！？「」#@"
-_BULLET = re.compile(r"^\s*[-+*•]\s+")
-
-
-def words_of(s: str) -> list[str]:
-    """Lower-case words; a run of characters of a script without blanks is cut into pairs of characters."""
-    out: list[str] = []
-    for t in s.lower().split():
-        t = t.strip(_STRIP)
-        if not t:
-            continue
-        if _CJK.search(t):
-            run = [c for c in t if c.isalnum()]
-            out += ["".join(run[i : i + 2]) for i in range(0, max(1, len(run) - 1), 2)]
+_ITEM = re.compile(r"[,;|•*、/~»«★☆<>=]+|!{2,}|\s[-–—+]\s")
+_STRIP = ".,;:!?\"'()[]{}<>*|+-–—=~•/\\।。、！？「」…#@"
+_ENDS = tuple(".!?।。！？…")
+
+
+class Segment(NamedTuple):
+    chars: int  # without blanks
+    kind: int
+    phrases: list[str]
+
+
+def _marked(text: str) -> str:
+    """Lower case, glued words parted, links, tags and codes as runs of their mark (as long as they were), scripts without blanks in pairs."""
+    if _CAMEL.search(text):
+        text = _CAMEL.sub(" ", text)
+    s = text.lower().replace("_", " ")
+    if _MAYBE_LINK.search(s):
+        s = _LINK.sub(lambda m: f" {LINK * len(m[0])} ", s)
+    if "#" in s or "@" in s or "＃" in s or "＠" in s:
+        s = _TAG.sub(lambda m: TAG * len(m[0]), s)
+    if _MAYBE_CODE.search(s):
+        s = _CODE.sub(lambda m: f" {CODE * len(m[0])} ", s)
+    return s if s.isascii() else _CJK_PAIR.sub(r"\1 ", s)
+
+
+def _echo(items: list[list[str]]) -> set[str]:
+    """Words of the pairs that stand twice or more in a segment, if they are at least 35 % of its words."""
+    if len(items) == 1:
+        words = items[0]
+    else:
+        words = [w for x in items for w in x]
+    if len(words) < 6 or len(set(words)) > len(words) - 2:
+        return set()
+    pairs = Counter(zip(words, words[1:]))
+    again = {w for p, c in pairs.items() if c > 1 for w in p}
+    cover = 2 * sum(c for c in pairs.values() if c > 1)
+    return again if again and min(cover, sum(w in again for w in words)) >= 0.35 * len(words) else set()
+
+
+def segments(text: str) -> list[Segment]:
+    """Lines and sentences of a text with their phrases and their kind by list density: LIST, SENTENCE, or OPEN (no end of a sentence).
+    Linear in the length; a text of nothing but blanks and signs has none."""
+    parts: list[tuple[list[list[str]], bool]] = []
+    count: Counter = Counter()
+    for seg in _END.split(_marked(text)):
+        items = []
+        for item in _ITEM.split(seg):
+            words = [y for y in [x.strip(_STRIP) for x in item.split()] if y]
+            if words:
+                items.append(words)
+                count.update(words)
+        if items:
+            parts.append((items, seg.rstrip(" \"')]\t").endswith(_ENDS)))
+    total = count.total()
+    # the words a page repeats all over; marks are among them
+    own = {w for w, c in count.items() if w[0] < OWN or (c >= 4 and c > (0.05 if len(w) > 2 else 0.1) * total)}
+    out: list[Segment] = []
+    run = 0
+    echoes = [_echo(items) for items, _ in parts]
+    often = sum(map(bool, echoes)) >= max(3, len(parts) / 2)
+    for (items, ended), echo in zip(parts, echoes):
+        # a phrase comes again in the segment: stuffing if the page repeats it all over, open if the page goes on like that, else a turn of speech
+        stuffed = echo and not own.isdisjoint(echo)
+        if not (stuffed or often):
+            echo = None
+        own_here = own | echo if echo else own
+        n_words = n = marked = longest = 0
+        phrases: list[str] = []
+        for words in items:
+            m = len(words)
+            n_words += m
+            longest = max(longest, m)
+            n += sum(map(len, words))
+            if not own_here.isdisjoint(words):
+                marked += sum(len(w) for w in words if w in own)
+                words = [w if w not in own_here else w[0] if w[0] < OWN else OWN for w in words]
+            phrases += [f"{a} {b}" for a, b in zip(words, words[1:])] if m > 1 else words
+        if 2 * marked > n or (len(items) >= 5 and longest <= 5) or stuffed:
+            kind = LIST
         else:
-            out.append(t)
+            kind = SENTENCE if ended and not echo else OPEN
+        out.append(Segment(n, kind, phrases))
+        # five or more short open lines in a row are a list
+        run = run + 1 if kind == LIST or (kind == OPEN and n_words <= 6) else 0
+        if run == 5:
+            out[-5:] = [s._replace(kind=LIST) for s in out[-5:]]
+        elif run > 5:
+            out[-1] = out[-1]._replace(kind=LIST)
     return out
 
 
-def _repeats(words: list[str]) -> float:
-    """Share of the words that lie in a pair of neighbouring words that stands in the segment twice or more."""
-    if len(words) < 4:
-        return 0.0
-    pairs = Counter(zip(words, words[1:]))
-    cover = [False] * len(words)
-    for i, p in enumerate(zip(words, words[1:])):
-        if pairs[p] > 1:
-            cover[i] = cover[i + 1] = True
-    return sum(cover) / len(words)
-
-
-def segments(text: str) -> list[tuple[str, int, int]]:
-    """(segment, characters, kind) of a text; kind: HONEST, OPEN or SPAM by the segment's own evidence."""
-    parts: list[str] = []
-    at = 0
-    shielded = _URL.sub(lambda m: m[0].replace(".", "\x00").replace("?", "\x01"), text)
-    for m in _END.finditer(shielded):
-        parts.append(shielded[at : m.end()])
-        at = m.end()
-    parts.append(shielded[at:])
-    out: list[tuple[str, int, int]] = []
-    seen: Counter = Counter()
-    for raw in parts:
-        s = raw.replace("\x00", ".").replace("\x01", "?")
-        core = s.strip()
-        if not core:
-            continue
-        n = len(core)
-        links = _URL.findall(core)
-        bare = _URL.sub(" ", core)
-        tags = _TAG.findall(bare)
-        bare = _TAG.sub(" ", bare)
-        codes = _CODE.findall(bare)
-        words = words_of(bare)
-        ended = core[-1] in ".!?।。！？…)"
-        seen[core.lower()] += 1
-        link_chars, tag_chars = sum(map(len, links)), sum(map(len, tags))
-        if link_chars + tag_chars > 0 and (link_chars + tag_chars >= n / 3 or len(words) <= 6 * len(links) or len(words) <= 2 * len(tags)):
-            # a sentence that ends in a link or a tag or two is not turned into a list by them
-            if len(words) > 6 and ended is False and len(links) + len(tags) <= 3 and _repeats(words) < 0.3 and len(set(words)) > 0.7 * len(words):
-                out.append((core, n - link_chars - tag_chars, HONEST))
-                out.append(("", link_chars + tag_chars, SPAM))
-            else:
-                out.append((core, n, SPAM))
-            continue
-        if not words:
-            out.append((core, n, SPAM if links or tags or _DECOR.search(core) else OPEN))
-            continue
-        distinct = len(set(words)) / len(words)
-        items = [x for x in _ITEM.split(_BULLET.sub("", core)) if x and x.strip(_STRIP)]
-        short = sum(1 for x in items if len(words_of(x)) <= 4)
-        cjk = bool(_CJK.search(core))
-        if seen[core.lower()] > 3 and len(words) <= 8:
-            kind = SPAM
-        elif len(words) >= 8 and distinct < 0.5:
-            kind = SPAM
-        elif len(words) >= 6 and _repeats(words) >= (0.5 if cjk else 0.35):
-            kind = ECHO
-        elif len(items) >= 5 and short >= 0.8 * len(items) and not cjk:
-            kind = SPAM if not ended or len(items) >= 8 else OPEN
-        elif len(items) >= 5 and short >= 0.8 * len(items) and not ended:
-            kind = SPAM
-        elif codes and sum(map(len, codes)) >= n / 4:
-            kind = SPAM
-        elif not ended and len(words) <= 5:
-            kind = OPEN
-        elif not ended and not cjk and len(words) > 5 and not _BULLET.match(core):
-            kind = OPEN
-        else:
-            kind = HONEST
-        out.append((core, n, kind))
-    return _in_context(out)
-
-
-def _in_context(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """A run of five or more short open lines is a list; a phrase stuffed into several sentences marks all sentences with it."""
-    pairs: Counter = Counter()
-    per: list[list[tuple]] = []
-    for s, _, _ in found:
-        w = words_of(s)
-        p = list(zip(w, w[1:]))
-        per.append(p)
-        pairs.update(p)
-    total = sum(map(len, per)) or 1
-    hot = {p for p, c in pairs.most_common(4) if c >= 4 and c / total > 0.06}
-    done: list[tuple[str, int, int]] = []
-    for (s, n, kind), p in zip(found, per):
-        if kind == ECHO:
-            twice = Counter(p)
-            kind = SPAM if any(twice[x] > 1 for x in hot) else HONEST
-        done.append((s, n, kind))
-    found = done
-    if hot and sum(1 for (s, _, k), p in zip(found, per) if k == SPAM and hot & set(p)) >= 2:
-        found = [(s, n, SPAM if hot & set(p) else k) for (s, n, k), p in zip(found, per)]
-    i = 0
-    while i < len(found):
-        j = i
-        while j < len(found) and found[j][2] != HONEST and (found[j][2] == SPAM or len(found[j][0]) <= 60):
-            j += 1
-        if j - i >= 5 and any(k == OPEN for _, _, k in found[i:j]):
-            found[i:j] = [(s, n, SPAM) for s, n, _ in found[i:j]]
-        i = max(j, i + 1)
-    return found
-
-
-def _hash(words: tuple) -> int:
-    return xxhash.xxh64_intdigest(" ".join(words)) - (1 << 63)
-
-
-def _shingles(s: str) -> list[int]:
-    w = words_of(s)
-    return [_hash(tuple(w[i : i + PHRASE])) for i in range(len(w) - PHRASE + 1)] if len(w) >= PHRASE else ([_hash(tuple(w))] if w else [])
-
-
-_SCHEMA = "text_id bigint, spam_chars bigint, all_chars bigint, listed array<bigint>, said array<bigint>, open_chars array<int>, open_phrases array<array<bigint>>"
-
-
-def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int64()))]
-    names = [x.split()[0] for x in _SCHEMA.split(", ")]
-    for b in batches:
-        ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-        for lo in range(0, len(ids), 500):  # small results: the arrays of long texts are long
-            rows = []
-            for i, t in zip(ids[lo : lo + 500], texts[lo : lo + 500]):
-                listed: set[int] = set()
-                said: set[int] = set()
-                spam = total = 0
-                open_chars: list[int] = []
-                open_phrases: list[list[int]] = []
-                for s, n, kind in segments(t):
-                    total += n
-                    sh = _shingles(s)
-                    if kind == SPAM:
-                        spam += n
-                        listed.update(sh)
-                    elif kind == HONEST:
-                        said.update(sh)
-                    elif sh:
-                        open_chars.append(n)
-                        open_phrases.append(sh)
-                rows.append((i, spam, total, sorted(listed), sorted(said), open_chars, open_phrases))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+_SEGMENTS = pa.list_(pa.struct([("n", pa.int32()), ("phrases", pa.list_(pa.string()))]))
+_KINDS = {"text_id": pa.string(), "lo": pa.int64(), "hi": pa.int64(), "chars": pa.int64(), "list_chars": pa.int64(), "listed": pa.list_(pa.string()), "said": pa.list_(pa.string()), "segs": _SEGMENTS}
+_SCHEMA = "text_id string, lo bigint, hi bigint, chars bigint, list_chars bigint, listed array<string>, said array<string>, segs array<struct<n: int, phrases: array<string>>>"
+
+
+def _evidence(share: float):
+    """Task: list density and phrases of each text; the segments only of texts that list density would let be flagged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, lows, highs, texts = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("text_id", "lo", "hi", "text"))
+            for at in range(0, len(ids), 500):  # small results: the arrays of long texts are long
+                rows = []
+                for i, lo, hi, t in zip(ids[at : at + 500], lows[at : at + 500], highs[at : at + 500], texts[at : at + 500]):
+                    listed: set[str] = set()
+                    said: set[str] = set()
+                    found = segments(t)
+                    for s in found:
+                        if s.kind != OPEN:
+                            (listed if s.kind == LIST else said).update(s.phrases)
+                    chars, dense = sum(s.chars for s in found), sum(s.chars for s in found if s.kind != SENTENCE)
+                    segs = [(s.chars, s.phrases) for s in found] if dense > share * chars else []
+                    rows.append((i, lo, hi, chars, dense, list(listed), list(said), [{"n": n, "phrases": p} for n, p in segs]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS.values())], list(_KINDS))
+
+    return run
+
+
+def _tagged(c: str, in_list: int) -> Column:
+    return F.transform(c, lambda p: F.struct(p.alias("phrase"), F.lit(in_list).alias("in_list")))
 
 
 def spam_scores(docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float = 0.5) -> DataFrame:
-    """(doc_id, spam_share, n_chars, is_spam), one row for each distinct id with a text; null and blank texts are left out.
+    """(doc_id, list_share, stock_share, n_chars, is_spam), one row for each distinct id with a text; null and blank texts are left out.
 
-    Equal texts are judged once. Phrases are counted over all documents; hosts are distinct values of host_col, null being
-    one of them. Repeated rows and other columns change nothing.
+    list_share: characters in segments that are no plain sentences; stock_share: characters in segments stitched from stock phrases,
+    null where list_share is too small for a flag. Equal texts are judged once. Phrases are counted over all texts; hosts are distinct values
+    of host_col, null being one of them; with a single host nothing is replicated, so nothing is flagged. Repeated rows and other columns change nothing.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"))
-    rows = rows.where("doc_id is not null and text is not null and trim(text) <> ''").withColumn("text_id", F.xxhash64("text"))
-    texts = rows.groupBy("text_id").agg(F.first("text").alias("text"))
-    seen = cut(texts.mapInArrow(_evidence, _SCHEMA))
-    hosts = rows.select("text_id", "host").distinct()
-    open_ones = seen.where(F.size("open_chars") > 0).select("text_id", F.posexplode(F.arrays_zip("open_chars", "open_phrases")).alias("seg", "x"))
-    open_phrases = cut(open_ones.select("text_id", "seg", F.col("x.open_chars").alias("n"), F.explode("x.open_phrases").alias("phrase")))
-    wanted = open_phrases.select("phrase").distinct()
-    # distinct hosts of each phrase, in lists and in sentences; only phrases some open segment asks for are shuffled on
-    said = seen.select("text_id", F.explode("said").alias("phrase"), F.lit(0).alias("in_list"))
-    listed = seen.select("text_id", F.explode("listed").alias("phrase"), F.lit(1).alias("in_list"))
-    asked = listed.unionByName(said).join(wanted, "phrase", "left_semi")
-    counted = (
-        asked.join(hosts, "text_id")
-        .groupBy("phrase")
-        .agg(
-            F.count_distinct(F.when(F.col("in_list") == 1, F.col("host"))).alias("list_hosts"),
-            F.sum("in_list").alias("n_list"),
-            F.sum(1 - F.col("in_list")).alias("n_said"),
-        )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit(""))).alias("host"))
+    rows = rows.where("doc_id is not null and text is not null and trim(text) <> ''").withColumn("text_id", F.md5("text"))
+    texts = rows.groupBy("text_id").agg(F.first("text").alias("text"), F.min("host").alias("lo"), F.max("host").alias("hi"))
+    seen = stored(texts.mapInArrow(_evidence(share), _SCHEMA))
+    # a phrase has several hosts if the least and the greatest of them differ: sums and extremes only, all combined before the shuffle
+    told = seen.select("lo", "hi", F.explode(F.concat(_tagged("listed", 1), _tagged("said", 0))).alias("p")).select("lo", "hi", "p.phrase", "p.in_list")
+    in_list = F.col("in_list") == 1
+    stock = (
+        told.groupBy("phrase")
+        .agg(F.min(F.when(in_list, F.col("lo"))).alias("lo"), F.max(F.when(in_list, F.col("hi"))).alias("hi"), F.sum("in_list").alias("n_list"), F.count("*").alias("n"))
+        .where((F.col("lo") != F.col("hi")) & (F.col("n_list") >= MIN_HOSTS_TEXTS) & (2 * F.col("n_list") > F.col("n")))
+        .select("phrase", F.lit(1).alias("stock"))
     )
-    judged = open_phrases.join(counted, "phrase", "left")
-    stock = F.coalesce((F.col("list_hosts") >= 2) & (F.col("n_list") > 3 * F.col("n_said")), F.lit(False))
-    more = (
-        judged.groupBy("text_id", "seg")
-        .agg(F.first("n").alias("n"), F.avg(stock.cast("double")).alias("stock"))
-        .where("stock > 0.5")
+    asked = seen.where(F.size("segs") > 0).select("text_id", F.posexplode("segs").alias("seg", "s")).select("text_id", "seg", "s.n", F.explode("s.phrases").alias("phrase"))
+    asked = asked.groupBy("text_id", "seg", "n", "phrase").agg(F.count("*").alias("c"))
+    stitched = (
+        asked.join(stock, "phrase", "left")
+        .groupBy("text_id", "seg", "n")
+        .agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.coalesce("stock", F.lit(0))).alias("hit"))
+        # a pair covers two words: more than a third of the pairs is most of the words
         .groupBy("text_id")
-        .agg(F.sum("n").alias("more"))
+        .agg(F.sum(F.when(3 * F.col("hit") > F.col("c"), F.col("n")).otherwise(0)).alias("stock_chars"))
     )
-    scored = seen.select("text_id", "spam_chars", "all_chars").join(more, "text_id", "left")
-    spam_share = (F.col("spam_chars") + F.coalesce("more", F.lit(0))) / F.greatest(F.col("all_chars"), F.lit(1))
-    judged_texts = scored.select("text_id", spam_share.alias("spam_share"), "all_chars").withColumn("is_spam", (F.col("spam_share") > share) & (F.col("all_chars") >= MIN_CHARS))
-    return rows.select("doc_id", "text_id").distinct().join(judged_texts, "text_id").select("doc_id", "spam_share", F.col("all_chars").alias("n_chars"), "is_spam")
+    least = F.greatest("chars", F.lit(1))
+    scored = seen.select("text_id", "chars", "list_chars").join(stitched, "text_id", "left")
+    scored = scored.select("text_id", (F.col("list_chars") / least).alias("list_share"), (F.col("stock_chars") / least).alias("stock_share"), F.col("chars").alias("n_chars"))
+    flag = F.coalesce((F.col("list_share") > share) & (F.col("stock_share") > share) & (F.col("n_chars") >= MIN_CHARS), F.lit(False))
+    return rows.select("doc_id", "text_id").distinct().join(scored.withColumn("is_spam", flag), "text_id").drop("text_id")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kinlink.llm.lookalike import look, lookalike_pairs
 from kinlink.llm.mixing import flight, land, mix, mix_report
 from kinlink.llm.packing import bucket_bounds, container_report, pack, plan
-from kinlink.llm.spam import segments, spam_scores
+from kinlink.llm.spam import SENTENCE, segments, spam_scores
 from kinlink.llm.tokens import TOKENIZER, token_sizes
 
 
@@ -161,7 +161,7 @@ SPAM = [
 
 def _share(t):
     s = segments(t)
-    return sum(n for _, n, k in s if k == 2) / max(1, sum(n for _, n, _ in s))
+    return sum(x.chars for x in s if x.kind != SENTENCE) / max(1, sum(x.chars for x in s))
 
 
 def test_segments():
@@ -170,23 +170,49 @@ def test_segments():
         assert _share(t) > 0.5, t
         assert _share(HONEST * 4 + " " + t) < 0.5, t
     assert _share(HONEST + " #kettle #nice https://x.example/y") < 0.5
-    assert _share("love love love it") < 0.5 and segments("") == []
+    assert segments("") == [] and segments(" .!, \n - ") == []
+    # pages about different things share phrases: links, tags, codes and a page's own words are marks
+    a, b = (segments(SPAM[3].replace("red kettle", x))[0].phrases for x in ("red kettle", "blue tent"))
+    assert set(a) & set(b) and len(segments("x" * 100_000 + " " + "y " * 100_000)) == 1
+
+
+def _flags(df):
+    return {r.doc_id: r.is_spam for r in spam_scores(df, "doc_id", "text", "source").collect()}
 
 
 def test_spam_scores(spark):
-    data = [(i, t, f"shop{i % 3}") for i, t in enumerate([HONEST, *SPAM])] + [(50, None, "a"), (51, " ", "a"), (52, "ok", None), (1, SPAM[0], "shop1"), (53, "word " * 40_000, "x")]
+    """Spam is flagged where its phrases stand in lists of several hosts, however it words them; honest texts and remarks are not."""
+    other = [t.replace("kettle", "tent").replace("KET", "TEN").replace("red", "big").replace("x http", "x/y http") for t in SPAM]
+    data = [(i, t, f"shop{i % 3}") for i, t in enumerate([HONEST, *SPAM])] + [(10 + i, t, f"shop{(i + 1) % 3}") for i, t in enumerate([HONEST, *other])]
+    data += [(20 + i, t, f"shop{(i + 2) % 3}") for i, t in enumerate([HONEST, *SPAM]) if i in (1, 5)]
+    data += [(31, SPAM[0] + ", best kettle sale", "shop0"), (35, SPAM[4] + "\nred tent", "shop1")]
+    data += [(50, None, "a"), (51, " ", "a"), (52, "ok", None), (1, SPAM[0], "shop1"), (53, "word " * 40_000, "x"), (None, HONEST, "x")]
     df = spark.createDataFrame([(*x, 0) for x in data], "doc_id long, text string, source string, host int")
-    got = {r.doc_id: r.is_spam for r in spam_scores(df, "doc_id", "text", "source").collect()}
-    assert got[0] is False and all(got[i] for i in range(1, 6)) and got[52] is False and 50 not in got and 51 not in got
+    got = _flags(df)
+    assert all(got[i] for i in (1, 2, 3, 4, 5, 31, 35)) and not any(got[i] for i in (0, 10, 52)) and 50 not in got and 51 not in got and None not in got
     assert spam_scores(df.limit(0), "doc_id", "text", "source").count() == 0
 
 
-def test_open_segments_by_phrases(spark):
+def test_one_host_replicates_nothing(spark):
+    """List density alone flags nothing: with a single host no phrase is replicated."""
+    data = [(i, t + f" no {i % 7}x", "one") for i, t in enumerate(SPAM * 5)]
+    assert not any(_flags(spark.createDataFrame(data, "doc_id long, text string, source string")).values())
+
+
+def test_open_texts_by_phrases(spark):
     """A list that its own form does not give away is known by phrases that stand in lists of several shops."""
-    salad = "blue tent sale red lamp offer green chair deal big sofa bargain"
-    lists = [(i, "blue tent sale, red lamp offer, green chair deal, big sofa bargain, blue tent sale, lamp offer green, tent sale red, offer green chair, deal big sofa", f"s{i}") for i in range(3)]
+    salad = "blue tent sale red lamp offer green chair deal big sofa bargain blue tent sale"
+    lists = [(i, f"blue tent sale, red lamp offer, green chair deal, big sofa bargain, blue lamp sale, lamp offer {i}, tent sale red, offer green chair", f"s{i}") for i in range(3)]
     df = spark.createDataFrame([*lists, (9, salad, "s9"), (10, HONEST, "s9")], "doc_id long, text string, source string")
-    got = {r.doc_id: r.is_spam for r in spam_scores(df, "doc_id", "text", "source").collect()}
+    got = _flags(df)
     assert got[9] and not got[10]
-    alone = spam_scores(df.where(F.col("doc_id") >= 9), "doc_id", "text", "source")
-    assert not {r.doc_id: r.is_spam for r in alone.collect()}[9]
+    assert not _flags(df.where(F.col("doc_id") >= 9))[9]
+
+
+def test_many_stuffed_phrases(spark):
+    """Sentences built round ten phrases in turn are as well known by the phrases between them as those built round one."""
+    words = ["oak table", "pine chair", "desk lamp", "wool rug", "steel pan", "tea pot", "bath mat", "bed frame", "wall clock", "sofa bed"]
+    page = [f"Buy {w} here because {w} is what {w} fans want. Every {w} buyer trusts our {w}." for w in words]
+    data = [(i, " ".join([page[i]] * 3), f"s{i}") for i in range(3)] + [(10, " ".join(page), "s9"), (11, HONEST, "s9")]
+    got = _flags(spark.createDataFrame(data, "doc_id long, text string, source string"))
+    assert all(got[i] for i in (0, 1, 2, 10)) and not got[11]
