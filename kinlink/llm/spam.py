@@ -65,18 +65,14 @@ def _marked(text: str) -> str:
     return s if s.isascii() else _CJK_PAIR.sub(r"\1 ", s)
 
 
-def _echo(items: list[list[str]]) -> set[str]:
-    """Words of the pairs that stand twice or more in a segment, if they are at least 35 % of its words."""
-    if len(items) == 1:
-        words = items[0]
-    else:
-        words = [w for x in items for w in x]
+def _echo(items: list[list[str]]) -> dict[tuple[str, str], int]:
+    """Pairs of words that stand twice or more in a segment, with their number, if they cover 35 % of its words."""
+    words = items[0] if len(items) == 1 else [w for x in items for w in x]
     if len(words) < 6 or len(set(words)) > len(words) - 2:
-        return set()
-    pairs = Counter(zip(words, words[1:]))
-    again = {w for p, c in pairs.items() if c > 1 for w in p}
-    cover = 2 * sum(c for c in pairs.values() if c > 1)
-    return again if again and min(cover, sum(w in again for w in words)) >= 0.35 * len(words) else set()
+        return {}
+    again = {p: c for p, c in Counter(zip(words, words[1:])).items() if c > 1}
+    inside = {w for p in again for w in p}
+    return again if min(2 * sum(again.values()), sum(w in inside for w in words)) >= 0.35 * len(words) else {}
 
 
 def segments(text: str) -> list[Segment]:
@@ -100,12 +96,14 @@ def segments(text: str) -> list[Segment]:
     run = 0
     echoes = [_echo(items) for items, _ in parts]
     often = sum(map(bool, echoes)) >= max(3, len(parts) / 2)
+    turns: Counter = Counter()
+    for e in echoes:
+        turns.update(e)
     for (items, ended), echo in zip(parts, echoes):
-        # a phrase comes again in the segment: stuffing if the page repeats it all over, open if the page goes on like that, else a turn of speech
-        stuffed = echo and not own.isdisjoint(echo)
-        if not (stuffed or often):
-            echo = None
-        own_here = own | echo if echo else own
+        # a phrase comes again in the segment: stuffing if the page repeats it on and on, open if the page goes on like that, else a turn of speech
+        stuffed = bool(echo) and max(turns[p] for p in echo) >= 4
+        own_here = own.union(*echo) if echo and (stuffed or often) else own
+        echo = own_here is not own
         n_words = n = marked = longest = 0
         phrases: list[str] = []
         for words in items:
