@@ -1,10 +1,10 @@
 """Multi-pass sorted neighbourhoods.
 
 All passes are sorted in one job: the rows of every pass carry the pass in front of their sort key, are range-partitioned on
-(pass, key, id) with sampled quantiles and sorted. A window then slides over each partition; the first window - 1 rows
-of the following partitions, at most partitions * window rows whatever the input, are handed to the task before,
-so no window is cut at a boundary and no key, however heavy, is bound to one task. Pairs in a window are first held against
-bit masks and equality gates in numpy, which lose nothing the comparison could accept; only the rest is compared in Python.
+(pass, key, id) with sampled quantiles and sorted. A window then slides over each partition, so no key, however heavy, is bound to one task. With
+its pairs a partition hands on its first and last window - 1 rows; over these, at most 2 * partitions * window rows whatever the
+input, the window slides once more for the pairs whose rows lie in different partitions, so no window is cut at a boundary. Pairs in a
+window are first held against bit masks and equality gates in numpy, which lose nothing the comparison could accept; only the rest is compared in Python.
 """
 
 from __future__ import annotations
@@ -65,93 +65,103 @@ def window_pairs(
         lambda x: x["key"].isNotNull() & (x["key"] != ""),
     )
     flat = rows.select(F.col(id_col).alias("__id"), *used, F.explode(passes).alias("p")).select("p.pass", "p.key", "__id", *used)
-    sorted_rows = flat.repartitionByRange(n, "pass", "key", "__id").sortWithinPartitions("pass", "key", "__id").drop("key")
-    stable = cut(sorted_rows)
-    schema_of = f"part int, pass int, __id bigint, {', '.join(f'`{c}` {kinds[c]}' for c in used)}"
-
-    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, left = TaskContext.get().partitionId(), window - 1
-        for b in batches:
-            if left > 0 and b.num_rows:
-                head = b.slice(0, min(left, b.num_rows))
-                left -= head.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array([part] * head.num_rows, pa.int32()), *head.columns], ["part", *head.schema.names])
-
-    heads = stable.mapInArrow(first_rows, schema_of).toPandas()  # at most partitions * (window - 1) rows
-    by_part = {int(p): g.drop(columns="part").reset_index(drop=True) for p, g in heads.groupby("part")}
-    tails: dict[int, pd.DataFrame] = {}
-    carry: pd.DataFrame | None = None
-    for p in range(stable.rdd.getNumPartitions() - 1, -1, -1):
-        if carry is not None:
-            tails[p] = carry
-        own = by_part.get(p)
-        if own is not None:
-            carry = own if len(own) >= window - 1 or carry is None else pd.concat([own, carry], ignore_index=True).head(window - 1)
-    sent = spark.sparkContext.broadcast(tails)
+    in_order = flat.repartitionByRange(n, "pass", "key", "__id").sortWithinPartitions("pass", "key", "__id").drop("key")
+    row_kinds = {"pass": "int", "__id": "bigint", **{c: kinds[c] for c in used}}
+    row_schema = ", ".join(f"`{c}` {k}" for c, k in row_kinds.items())
+    pair_names = ["a", "b", "score"]
+    edge_names = ["part", "at", *row_kinds]
+    schema = f"a bigint, b bigint, score int, part int, at int, {row_schema}"
+
+    def compared(df: pd.DataFrame, ready: int, part: np.ndarray | None = None) -> tuple[list, list, list]:
+        """Pairs of the first `ready` rows with the rows behind them; with part, only pairs of different ones."""
+        m = len(df)
+        ids, which = df["__id"].to_numpy(), df["pass"].to_numpy()
+        equal = [df[c].to_numpy() for c in gate.equal]
+        masks = [(df[c].to_numpy(), bits) for c, bits in gate.masks]
+        differ = ([df[gate.sides].to_numpy()] if gate.sides else []) + ([part] if part is not None else [])
+        left: list[np.ndarray] = []
+        right: list[np.ndarray] = []
+        for step in range(1, window):
+            end = min(ready, m - step)
+            if end <= 0:
+                break
+            ok = (which[:end] == which[step : end + step]) & (ids[:end] != ids[step : end + step])
+            for e in equal:
+                ok &= e[:end] == e[step : end + step]
+            for e in differ:
+                ok &= e[:end] != e[step : end + step]
+            for x, bits in masks:
+                p, q = x[:end], x[step : end + step]
+                ok &= (np.bitwise_count(p ^ q) <= bits) | (p == 0) | (q == 0)
+            at = np.flatnonzero(ok)
+            left.append(at)
+            right.append(at + step)
+        a_out: list[int] = []
+        b_out: list[int] = []
+        s_out: list[int] = []
+        if left:
+            i, j = np.concatenate(left), np.concatenate(right)
+            if len(i):
+                rec = list(zip(*[df[c].tolist() for c in fields]))
+                for x, y in zip(i.tolist(), j.tolist()):
+                    score = compare(rec[x], rec[y])
+                    if score:
+                        u, v = int(ids[x]), int(ids[y])
+                        a_out.append(min(u, v))
+                        b_out.append(max(u, v))
+                        s_out.append(score)
+        return a_out, b_out, s_out
+
+    def pair_arrays(found: tuple[list, list, list]) -> list[pa.Array]:
+        return [pa.array(c, k) for c, k in zip(found, (pa.int64(), pa.int64(), pa.int32()))]
 
     def slide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tail = sent.value.get(TaskContext.get().partitionId())
-
-        def chunks() -> Iterator[tuple[pd.DataFrame, int]]:
-            """(rows, how many of them come in as left ends of pairs)"""
-            held: pd.DataFrame | None = None
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                now = b.to_pandas()
-                now = now if held is None else pd.concat([held, now], ignore_index=True)
-                ready = max(0, len(now) - (window - 1))
-                if ready:
-                    yield now, ready
-                held = now.iloc[ready:].reset_index(drop=True)
-            if held is not None and len(held):
-                own = len(held)
-                yield (held if tail is None else pd.concat([held, tail], ignore_index=True)), own
-
-        for df, ready in chunks():
-            m = len(df)
-            ids, which = df["__id"].to_numpy(), df["pass"].to_numpy()
-            equal = [df[c].to_numpy() for c in gate.equal]
-            masks = [(df[c].to_numpy(), bits) for c, bits in gate.masks]
-            side = df[gate.sides].to_numpy() if gate.sides else None
-            left: list[np.ndarray] = []
-            right: list[np.ndarray] = []
-            for step in range(1, window):
-                end = min(ready, m - step)
-                if end <= 0:
-                    break
-                ok = (which[:end] == which[step : end + step]) & (ids[:end] != ids[step : end + step])
-                for e in equal:
-                    ok &= e[:end] == e[step : end + step]
-                if side is not None:
-                    ok &= side[:end] != side[step : end + step]
-                for x, bits in masks:
-                    p, q = x[:end], x[step : end + step]
-                    ok &= (np.bitwise_count(p ^ q) <= bits) | (p == 0) | (q == 0)
-                at = np.flatnonzero(ok)
-                left.append(at)
-                right.append(at + step)
-            if not left:
-                continue
-            i, j = np.concatenate(left), np.concatenate(right)
-            if not len(i):
+        kind = None
+        held: pd.DataFrame | None = None
+        head: pd.DataFrame | None = None
+        seen = 0
+        for b in batches:
+            if not b.num_rows:
                 continue
-            cols = [df[c].tolist() for c in fields]
-            a_out, b_out, s_out = [], [], []
-            rec = list(zip(*cols))
-            for x, y in zip(i.tolist(), j.tolist()):
-                score = compare(rec[x], rec[y])
-                if score:
-                    u, v = int(ids[x]), int(ids[y])
-                    a_out.append(min(u, v))
-                    b_out.append(max(u, v))
-                    s_out.append(score)
-            if a_out:
-                yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(s_out, pa.int32())], ["a", "b", "score"])
-
-    found = stable.mapInArrow(slide, "a bigint, b bigint, score int")
+            kind = b.schema
+            now = b.to_pandas()
+            seen += len(now)
+            if head is None or len(head) < window - 1:
+                head = now.head(window - 1) if head is None else pd.concat([head, now]).head(window - 1)
+            held = now if held is None else pd.concat([held, now], ignore_index=True)
+            ready = len(held) - (window - 1)
+            if ready > 0:
+                found = compared(held, ready)
+                if found[0]:
+                    nulls = [pa.nulls(len(found[0]), t) for t in (pa.int32(), pa.int32(), *kind.types)]
+                    yield pa.RecordBatch.from_arrays([*pair_arrays(found), *nulls], [*pair_names, *edge_names])
+                held = held.iloc[ready:].reset_index(drop=True)
+        if held is None:
+            return
+        found = compared(held, len(held))
+        tail = held.tail(min(len(held), seen - len(head)))  # rows that are not in the head
+        edge = pd.concat([head, tail], ignore_index=True)
+        m, k = len(edge), len(found[0])
+        rows_out = pa.RecordBatch.from_pandas(edge, kind, preserve_index=False)
+        here = [pa.array([TaskContext.get().partitionId()] * m, pa.int32()), pa.array(range(m), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int32())), *here, *rows_out.columns], [*pair_names, *edge_names])
+        if k:
+            yield pa.RecordBatch.from_arrays([*pair_arrays(found), *(pa.nulls(k, t) for t in (pa.int32(), pa.int32(), *kind.types))], [*pair_names, *edge_names])
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pd.DataFrame | None = None
+        for b in batches:
+            held = b.to_pandas() if held is None else pd.concat([held, b.to_pandas()], ignore_index=True)
+            ready = len(held) - (window - 1)
+            if ready > 0:
+                yield pa.RecordBatch.from_arrays(pair_arrays(compared(held, ready, held["part"].to_numpy())), pair_names)
+                held = held.iloc[ready:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield pa.RecordBatch.from_arrays(pair_arrays(compared(held, len(held), held["part"].to_numpy())), pair_names)
+
+    got = cut(in_order.mapInArrow(slide, schema))
+    edges = got.where("part is not null").select(*edge_names).repartition(1).sortWithinPartitions("part", "at")
+    found = got.where("a is not null").select(*pair_names).unionByName(edges.mapInArrow(across, "a bigint, b bigint, score int"))
     return found.groupBy("a", "b").agg(F.max("score").alias("score"))
