@@ -13,6 +13,7 @@ error of the whole is below shards / HEAVY and shrinks as the data grow.
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -25,43 +26,61 @@ from kinlink.session import cut
 
 HEAVY = 1000
 SHARD_COMPONENTS = 20_000
+MAX_LABELS = 100_000
 
 
-def place(vectors: np.ndarray, lacking: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """Split of each component. vectors: components x labels (the last label counts all records);
-    lacking: splits x labels, changed in place. Rarest outstanding label first, largest component first within it, into the split that
+Vector = tuple[np.ndarray, np.ndarray]  # label numbers and how many records carry each
+
+
+def place(vectors: list[Vector], sizes: np.ndarray, lacking: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Split of each component. vectors: the labels of each component; sizes: its records; lacking: splits x (labels and, last, records),
+    changed in place. Rarest outstanding label first, largest component first within it, into the split that
     lacks that label most, in proportion to its share; ties go to the split that lacks most records in proportion, then to the first split.
     A split without a share gets nothing."""
-    n, labels = vectors.shape
+    n, labels = len(sizes), lacking.shape[1]
     split = np.full(n, -1, dtype=np.int32)
-    outstanding = vectors.sum(axis=0).astype(float)
-    holders = [np.flatnonzero(vectors[:, k] > 0) for k in range(labels)]
-    holders = [h[np.lexsort((h, -vectors[h, -1], -vectors[h, k]))] for k, h in enumerate(holders)]
+    outstanding = np.zeros(labels)
+    outstanding[-1] = sizes.sum()
+    holders: dict[int, list] = {labels - 1: [(-sizes[i], -sizes[i], i) for i in range(n)]}
+    for i, (ks, vs) in enumerate(vectors):
+        np.add.at(outstanding, ks, vs)
+        for k, v in zip(ks.tolist(), vs.tolist()):
+            holders.setdefault(k, []).append((-v, -sizes[i], i))
     weight = np.where(shares > 0, 1 / np.where(shares > 0, shares, 1), 0)
     barred = np.where(shares > 0, 0.0, -np.inf)
-    done = np.zeros(labels, dtype=bool)
-    while not done.all():
-        rare = [(outstanding[k], k) for k in range(labels) if not done[k]]
-        k = min(rare)[1]
-        for i in holders[k]:
+    heap = [(outstanding[k], k) for k in holders]
+    heapq.heapify(heap)
+    done: set[int] = set()
+    while heap:
+        left, k = heapq.heappop(heap)
+        if k in done or left != outstanding[k]:
+            continue  # an entry with the number as it is now follows
+        for _, _, i in sorted(holders[k]):
             if split[i] >= 0:
                 continue
             need = lacking[:, k] * weight + barred
             best = np.flatnonzero(need >= need.max() - 1e-9)
             s = int(best[np.argmax((lacking[:, -1] * weight + barred)[best])])
             split[i] = s
-            lacking[s] -= vectors[i]
-            outstanding -= vectors[i]
-        done[k] = True
+            ks, vs = vectors[i]
+            lacking[s, ks] -= vs
+            lacking[s, -1] -= sizes[i]
+            outstanding[ks] -= vs
+            outstanding[-1] -= sizes[i]
+            for j in (*ks.tolist(), labels - 1):
+                if j not in done and j != k:
+                    heapq.heappush(heap, (outstanding[j], j))
+        done.add(k)
     return split
 
 
-def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
+def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targets: dict[str, float], max_labels: int = MAX_LABELS) -> DataFrame:
     """(record_id, component, split_name), one row for each distinct record_id.
 
     records(record_id): repeated ids count once, nulls are left out. links(record_id, entity): records with a common entity
     belong together; a record without links is a component of its own. labels(record_id, label): any number each; a record
-    without labels counts among the records only. targets: share of records for each split, scaled to a sum of 1. An empty table of records gives no rows.
+    without labels counts among the records only. targets: share of records for each split, scaled to a sum of 1. An empty table of records gives no rows. More different labels than max_labels are an error: one total of each is held by
+    the driver and by the tasks.
     """
     names = list(targets)
     total_share = sum(targets.values())
@@ -73,34 +92,50 @@ def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targ
     comps = connected_components(edges).where(F.col("node").startswith("r\x01")).select(F.substring("node", 3, 1 << 20).alias("record_id"), "component")
     members = cut(ids.join(comps, "record_id", "left").select("record_id", F.coalesce("component", F.concat(F.lit("r\x01"), "record_id")).alias("component")))
     kinds = labels.where("record_id is not null and label is not null").select("record_id", F.col("label").cast("string").alias("label")).distinct()
-    # Label totals: as many rows as there are labels, a property of the task and not of the data's size.
-    label_names = sorted(r[0] for r in kinds.select("label").distinct().limit(1000).collect())
-    flags = kinds.groupBy("record_id").agg(*[F.max((F.col("label") == x).cast("int")).alias(f"l{k}") for k, x in enumerate(label_names)]) if label_names else None
-    rows = members.join(flags, "record_id", "left") if flags is not None else members
-    columns = [f"l{k}" for k in range(len(label_names))]
-    vectors = cut(rows.groupBy("component").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns], F.count("*").alias("size")))
-    cols = [*columns, "size"]
-    sums = vectors.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols]).first()
+    totals = kinds.join(ids, "record_id", "left_semi").groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(max_labels + 1).collect()
+    if len(totals) > max_labels:
+        raise ValueError(f"more than {max_labels} different labels")
+    number = records.sparkSession.createDataFrame([(r["label"], k) for k, r in enumerate(totals)], "label string, k int")
+    counted = members.join(kinds.join(number, "label"), "record_id").groupBy("component", "k").agg(F.count("*").alias("v"))
+    held = counted.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("kv"))
+    vectors = cut(
+        members.groupBy("component").agg(F.count("*").alias("size")).join(held, "component", "left")
+        .select("component", "size", F.col("kv.k").alias("ks"), F.col("kv.v").alias("vs"))
+    )
+    sums = vectors.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
     if not sums["n"]:
         return members.select("record_id", "component", F.lit(None).cast("string").alias("split_name"))
-    total = np.array([float(sums[c]) for c in cols])
+    total = np.array([*(float(r["n"]) for r in totals), float(sums["size"])])
+
+    def sparse(pdf: pd.DataFrame) -> tuple[list[Vector], np.ndarray]:
+        none = (np.zeros(0, np.int64), np.zeros(0))
+        return [none if k is None else (np.asarray(k, np.int64), np.asarray(v, float)) for k, v in zip(pdf["ks"], pdf["vs"])], pdf["size"].to_numpy(float)
+
+    def sum_of(vecs: list[Vector], sizes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(total))
+        for ks, vs in vecs:
+            out[ks] += vs
+        out[-1] = sizes.sum()
+        return out
+
     limit = max(1.0, total[-1] / HEAVY)
     heavy = vectors.where(F.col("size") > limit).toPandas().sort_values(["size", "component"], ascending=[False, True])  # fewer than HEAVY rows
     lacking = np.outer(shares, total)
-    placed = place(heavy[cols].to_numpy(float), lacking, shares) if len(heavy) else np.zeros(0, int)
+    heavy_vectors, heavy_sizes = sparse(heavy)
+    placed = place(heavy_vectors, heavy_sizes, lacking, shares)
     spark = records.sparkSession
     where_heavy = spark.createDataFrame(
         [(c, names[s]) for c, s in zip(heavy["component"], placed)], "component string, split_name string"
     )
-    light_total = total - (heavy[cols].to_numpy(float).sum(axis=0) if len(heavy) else 0)
+    light_total = total - sum_of(heavy_vectors, heavy_sizes)
     shards = max(1, math.ceil(sums["n"] / SHARD_COMPONENTS))
 
     def one_shard(pdf: pd.DataFrame) -> pd.DataFrame:
         # ties in an order that has nothing to do with the names
         pdf = pdf.assign(h=pd.util.hash_array(pdf["component"].to_numpy(object))).sort_values(["h", "component"]).reset_index(drop=True)
-        v = pdf[cols].to_numpy(float)
-        part = np.divide(v.sum(axis=0), light_total, out=np.zeros_like(light_total), where=light_total > 0)
-        split = place(v, lacking * part, shares)
+        vecs, sizes = sparse(pdf)
+        part = np.divide(sum_of(vecs, sizes), light_total, out=np.zeros_like(light_total), where=light_total > 0)
+        split = place(vecs, sizes, lacking * part, shares)
         return pd.DataFrame({"component": pdf["component"], "split_name": [names[s] for s in split]})
 
     light = vectors.where(F.col("size") <= limit).withColumn("shard", F.pmod(F.xxhash64("component"), F.lit(shards)))
