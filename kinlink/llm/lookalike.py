@@ -33,8 +33,11 @@ SHAPES = {
     # apostrophes
     "’": "'", "‘": "'", "ʼ": "'", "＇": "'", "′": "'",
 }
-# Characters that are ignorable by default and not of category Cf (joiners, fillers, variation selectors).
-IGNORABLE = re.compile("[͏ᅟᅠ឴឵᠋-᠏ㅤ︀-️ﾠ\U000e0100-\U000e01ef]")
+# The code points with the property Default_Ignorable_Code_Point.
+IGNORABLE = re.compile(
+    "[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8"
+    "\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff]"
+)
 _SHAPE_TABLE = str.maketrans(SHAPES)
 _BLANK = re.compile(r"[\s   -     　\x85\x1c-\x1f]")
 _PLAIN = re.compile(r"^[!-~]+(?: [!-~]+)*$")
@@ -48,7 +51,6 @@ def look(text: str | None, fold: bool = False, shapes: bool = True) -> str | Non
         text = unicodedata.normalize("NFKC", text)
         if not text.isascii():
             text = IGNORABLE.sub("", text)
-            text = "".join(c for c in text if unicodedata.category(c) != "Cf")
         text = _BLANK.sub(" ", text).strip(" ")
         if shapes and not text.isascii():
             # decompose, map the bases, compose: an accented look-alike ends as the accented Latin letter
@@ -70,7 +72,7 @@ def look_col(c: Column, fold: bool = False, shapes: bool = True) -> Column:
 
 
 def lookalike_classes(records: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, raw, look, folded): one row for each distinct (id, text) with its form; texts are normalised once each.
+    """(id, raw, look): one row for each distinct (id, text) with its form; texts are normalised once each.
 
     Nulls, in either column, are left out; repeated rows count once; an empty table gives no rows; other columns are dropped.
     """

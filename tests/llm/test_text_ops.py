@@ -21,6 +21,8 @@ def test_look():
     assert look("co‑op") == look("co-op") == look("co−op") and look("ﬁne ﬆ") == "fine st"
     assert look("ACME") != look("acme") and look("ACME", fold=True) == look("acme", fold=True) and look("cafe") != look("café")
     assert look(None) is None and look("") == "" and look(" ​ ") == "" and look("Straße", fold=True) == "strasse"
+    assert look("a\u0600b") == "a\u0600b" and look("a\u06ddb\u070f") == "a\u06ddb\u070f"  # format characters that are seen
+    assert look("a\u2065b\ufff0\u180e\U000e0100") == "ab"  # ignorable, assigned or not
     assert look("x" * 200_000 + "​") == "x" * 200_000
 
 
