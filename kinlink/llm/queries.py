@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
-from kinlink.llm.entities import best_sites, one_to_one, site_candidates
+from kinlink.llm.entities import best_sites, one_to_one_sites
 from kinlink.llm.lookalike import look_col, lookalike_pairs
 from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.mixing import mix, mix_report
@@ -136,7 +136,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p3_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     """At most one source 2 record for each source 1 record, with the confidence."""
-    return one_to_one(site_candidates(*_sites(spark, d))).select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"), "confidence")
+    return one_to_one_sites(*_sites(spark, d)).select(F.col("left_id").alias("s1_id"), F.col("right_id").alias("s2_id"), "confidence")
 
 
 # -- problem 5 ---------------------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kinlink.llm.address import EMPTY, osa, parse, same_place
 from kinlink.llm.classes import link_classes
-from kinlink.llm.entities import best_left, best_sites, one_to_one, site_candidates
+from kinlink.llm.entities import best_left, best_sites, one_to_one, one_to_one_sites, ranked, site_candidates, solve
 from kinlink.llm.names import NO_NAME, parse_name, same_org
 from kinlink.llm.neighbours import Gate, letter_mask, window_pairs
 from kinlink.llm.places import place_classes, place_pairs
@@ -75,11 +75,23 @@ def test_grouped_splits(spark):
 
 
 def test_rarest_label_first():
-    v = np.array([[1, 0, 1]] * 10 + [[0, 1, 1]] * 90, float)
-    shares = np.array([0.8, 0.2])
-    got = place(v, np.outer(shares, v.sum(axis=0)), shares)
+    vectors = [(np.array([0]), np.array([1.0]))] * 10 + [(np.array([1]), np.array([1.0]))] * 90
+    sizes, total, shares = np.ones(100), np.array([10.0, 90.0, 100.0]), np.array([0.8, 0.2])
+    got = place(vectors, sizes, np.outer(shares, total), shares)
     assert (got[:10] == 1).sum() == 2 and (got[10:] == 1).sum() == 18
-    assert set(place(v, np.outer([1.0, 0.0], v.sum(axis=0)), np.array([1.0, 0.0]))) == {0}
+    assert set(place(vectors, sizes, np.outer([1.0, 0.0], total), np.array([1.0, 0.0]))) == {0}
+
+
+def test_more_labels_than_a_row_has_columns(spark):
+    """1,500 labels, two records each: every label ends in both of two equal splits; more labels than allowed are an error."""
+    rec = spark.range(3000).select(F.col("id").cast("string").alias("record_id"))
+    labels = rec.select("record_id", (F.col("record_id").cast("int") % 1500).cast("string").alias("label"))
+    none = spark.createDataFrame([], "record_id string, entity string")
+    got = grouped_splits(rec, none, labels, {"a": 0.5, "b": 0.5})
+    by = got.join(labels, "record_id").groupBy("label").agg(F.count_distinct("split_name").alias("n")).where("n = 2").count()
+    assert by == 1500
+    with pytest.raises(ValueError):
+        grouped_splits(rec, none, labels, {"a": 1.0}, max_labels=1000)
 
 
 # -- addresses ---------------------------------------------------------------------------------------------------------
@@ -273,19 +285,55 @@ def test_sites(spark):
     cand = site_candidates(l, r).cache()
     got = {(x.left_id, x.right_id) for x in best_left(cand).collect()}
     assert got == {("A1", "B1"), ("A2", "B2"), ("A3", "B3"), ("A5", "B4"), ("A5", "B6")}
-    one = [(x.left_id, x.right_id) for x in one_to_one(cand).collect()]
+    one = [(x.left_id, x.right_id) for x in one_to_one_sites(l, r).collect()]
+    assert len(one) == one_to_one(cand).count()
     assert len({a for a, _ in one}) == len(one) == len({b for _, b in one})
     assert site_candidates(l.limit(0), r).count() == 0
 
 
-def test_one_to_one_is_stable(spark):
-    r = random.Random(3)
-    edges = {(f"a{r.randint(0, 15)}", f"b{r.randint(0, 15)}"): round(r.random(), 3) for _ in range(80)}
-    got = {(x.left_id, x.right_id) for x in one_to_one(spark.createDataFrame([(*k, v) for k, v in edges.items()], "left_id string, right_id string, confidence double")).collect()}
-    assert len({a for a, _ in got}) == len(got) == len({b for _, b in got})
-    mate_a, mate_b = {a: edges[a, b] for a, b in got}, {b: edges[a, b] for a, b in got}
-    for (a, b), c in edges.items():  # no pair is better than what both its ends got
-        assert c <= mate_a.get(a, -1) or c <= mate_b.get(b, -1)
+def _best_total(edges, left, right):
+    """Greatest total of an assignment with capacities, by trying all."""
+    edges = [e for e in edges if e[2] > 0]
+
+    def go(i, cl, cr):
+        if i == len(edges):
+            return 0
+        a, b, w = edges[i]
+        best = go(i + 1, cl, cr)
+        for u in range(1, min(cl[a], cr[b]) + 1):
+            best = max(best, u * w + go(i + 1, cl | {a: cl[a] - u}, cr | {b: cr[b] - u}))
+        return best
+
+    return go(0, left, right)
+
+
+def test_assignment_has_the_greatest_total():
+    r = random.Random(7)
+    for _ in range(150):
+        cl, cr = {i: r.randint(1, 2) for i in range(4)}, {i: r.randint(1, 2) for i in range(4)}
+        pairs = r.sample([(a, b) for a in cl for b in cr], r.randint(1, 8))
+        edges = [(a, b, r.randint(1, 9)) for a, b in pairs]
+        units = solve([e[0] for e in edges], [e[1] for e in edges], [e[2] for e in edges], cl, cr)
+        assert min(units) >= 0 and sum(u * e[2] for u, e in zip(units, edges)) == _best_total(edges, cl, cr)
+        for k, cap in cl.items():
+            assert sum(u for u, e in zip(units, edges) if e[0] == k) <= cap
+        for k, cap in cr.items():
+            assert sum(u for u, e in zip(units, edges) if e[1] == k) <= cap
+
+
+def test_one_to_one(spark):
+    schema = "left_id string, right_id string, confidence double"
+    edges = [("a", "x", 0.95), ("a", "y", 0.9), ("b", "x", 0.9), (None, "x", 1.0), ("b", "x", 0.9), ("c", None, 1.0)]
+    got = {(r.left_id, r.right_id) for r in one_to_one(spark.createDataFrame(edges, schema)).collect()}
+    assert got == {("a", "y"), ("b", "x")}
+    # a chain of 200 pairs of falling confidence: no pair is left that could still be taken, exactly or by dominant pairs
+    chain = [(f"l{i // 2:03d}", f"r{(i + 1) // 2:03d}", 1 - i / 1000) for i in range(200)]
+    df = spark.createDataFrame(chain, schema)
+    for limit, n in ((1000, 200), (6, 8)):
+        got = [(r.left_id, r.right_id) for r in one_to_one(df.limit(n), limit).collect()]
+        a, b = {x for x, _ in got}, {y for _, y in got}
+        assert len(a) == len(got) == len(b) and all(x in a or y in b for x, y, _ in chain[:n])
+    assert one_to_one(df.limit(0)).count() == 0
 
 
 def test_copies_of_a_site_take_one_place(spark):
@@ -297,6 +345,9 @@ def test_copies_of_a_site_take_one_place(spark):
     right = spark.createDataFrame([(f"B{i:03d}", *(site if i % 2 else near)) for i in range(200)] + [("C", *site[:1], None, "US")], schema)
     cand = site_candidates(left, right).cache()
     assert cand.where("right_id <> 'C'").count() == 60 * 200
+    one = one_to_one_sites(left, right).collect()
+    assert len(one) == len({x.left_id for x in one}) == len({x.right_id for x in one}) == 60
+    assert sorted(x["rank"] for x in ranked(right.select("country", "entity_id"), "country", "entity_id").collect()) == list(range(201))
     want = {("A000", f"B{i:03d}") for i in range(200)}
     assert {(r.left_id, r.right_id) for r in best_sites(left, right).collect()} == want == {(r.left_id, r.right_id) for r in best_left(cand).collect()}
 
