@@ -72,7 +72,7 @@ for _n, _f in GIVEN.items():
     for _w in (_n, *_f.split()):
         GIVEN_OF[_w] = GIVEN_OF.get(_w, frozenset()) | {_n}
 _OCR = str.maketrans("0158", "olsb")
-_VOWELS = re.compile("[aeiou]")
+_VOWELS = re.compile("[aeiouy]")
 _TOKEN = re.compile(r"[a-z0-9]+(?:['/][a-z0-9]+)*|&")
 _TAIL = re.compile(r"\(.*?\)|\s[-–]\s*(?:head office|branch|main office|hq)\b.*$")
 _NATIVE = re.compile("[Ѐ-ӿͰ-Ͽ]")
@@ -185,6 +185,7 @@ def parse_name(text: str | None) -> OrgName:
     return OrgName(" ".join(fold(w) for w in words), "|".join(sorted(given)) or fold(initial), trade, partner)
 
 
+@lru_cache(1 << 16)
 def _close(a: str, b: str) -> bool:
     """The same word up to typing errors: one edit, or two or three that do not sit in one spot (a replaced syllable is
     another name)."""
@@ -221,11 +222,17 @@ def vowelless(word: str) -> bool:
     return len(word) >= 3 and len(_VOWELS.findall(word[1:])) * 8 < len(word)
 
 
-def _same_bones(x: str, y: str) -> bool:
-    """Equal consonants, or one lost, doubled or moved in six or more; another consonant is another name."""
+def few_vowels(words: list[str]) -> bool:
+    """Has a word without vowels, or few vowels in all."""
+    joined = "".join(words)
+    return any(map(vowelless, words)) or len(joined) - len(bones(joined)) < len(joined) // 3
+
+
+def _same_bones(x: str, y: str, worn: bool = True) -> bool:
+    """Equal consonants; of names short of vowels also with one lost, doubled or moved in six or more; another consonant is another name."""
     if x == y:
         return True
-    if min(len(x), len(y)) < 6 or osa(x, y, 1) > 1:
+    if not worn or min(len(x), len(y)) < 6 or osa(x, y, 1) > 1:
         return False
     return len(x) != len(y) or sorted(x) == sorted(y)
 
@@ -278,6 +285,8 @@ def _assigned(a: list[str], b: list[str]) -> bool:
 
 
 def _words_match(a: list[str], b: list[str]) -> bool:
+    if len(a) > len(b):
+        a, b = b, a  # the name of more words is the one whose orders are tried
     if len(a) == len(b):
         if len(a) > 3:
             return _word("".join(a), "".join(b)) or _assigned(a, b)
@@ -286,12 +295,13 @@ def _words_match(a: list[str], b: list[str]) -> bool:
     ja = "".join(a)
     orders = permutations(b) if len(b) <= 3 else [tuple(b)]
     bare = any(map(vowelless, a)) != any(map(vowelless, b))
+    worn = few_vowels(a) or few_vowels(b)
     for p in orders:
         jb = "".join(p)
         if _close(ja, jb):
             return True
         if bare or abs(len(ja) - len(jb)) >= 3:
-            if _same_bones(bones(ja), bones(jb)):
+            if _same_bones(bones(ja), bones(jb), worn):
                 return True
     if len(a) <= 3 and len(b) > 3:
         return any(_close("".join(p), "".join(b)) for p in permutations(a))

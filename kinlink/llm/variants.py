@@ -1,8 +1,8 @@
 """Variant spellings of one organisation's name (problem 5): a sharded trie join.
 
 Names are parsed, and equal part lists become one form. A form goes to a few shards: the first and last consonants of each of its
-words and of all of them together, with the trade; and of all words at once, where the names without a trade are met. A typing error, a
-dropped vowel, a joined, parted or moved word leaves at least one of these keys as it was. Each shard builds a trie of the joined words of its
+words and of all of them together, with the trade; of all words at once, where the names without a trade are met; and each whole word. A typing
+error, a dropped vowel, a joined, parted or moved word leaves at least one of these keys as it was; rarely two errors break them all. Each shard builds a trie of the joined words of its
 forms in all orders of the words (and a second one of their consonants), and walks it with a Levenshtein automaton for every longer form; what
 is found is compared by parts, over all orders of the words (names.same_org). A shard with more forms than a task should
 hold is cut into a grid of index parts and query parts, so no form is left out and no shard is bound to one task.
@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import permutations
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
 from kinlink.llm.classes import link_classes
-from kinlink.llm.names import OrgName, bones, fold, parse_name, same_org, vowelless
+from kinlink.llm.names import OrgName, bones, few_vowels, fold, parse_name, same_org
 from kinlink.llm.trie import Trie
 from kinlink.session import cut, shuffle_partitions
 
@@ -41,9 +43,18 @@ def shard_keys(name: OrgName) -> list[str]:
         for b in solid:
             keys.add(f"{name.trade}<{b[:4]}")
             keys.add(f"{name.trade}>{b[-4:]}")
+            if len(b) >= 4:
+                keys.add(f"{name.trade}~{b[:2]}{b[-2:]}")
+    if len(words) > 1:
+        # one word as it is, whatever became of the others and of the trade; ^: here it meets joined words, in whatever order they were joined
+        for b in map(bones, words):
+            if len(b) >= 4:
+                keys.update(("@" + b, "^" + b[:4], "^" + b[-4:]))
     if len(words) == 1:
         b = bones(words[0])
-        keys.add("=" + b[:6])
+        keys.update(("=" + b[:6], "=" + b[:2] + b[-2:]))
+        if len(b) >= 8:
+            keys.update(("^" + b[:4], "^" + b[-4:]))
         # a family name alone: shorter keys, together with the given name's initial
         for g in {fold(x)[:1] for x in name.given.split("|") if x}:
             keys.add(f"{name.trade}{g}<{b[:2]}")
@@ -83,27 +94,40 @@ def _orders(words: list[str]) -> list[str]:
     return ["".join(p) for p in permutations(words)] if len(words) <= 3 else ["".join(words)]
 
 
-def _weak(words: list[str]) -> bool:
-    """Has a word without vowels, or few vowels in all."""
-    joined = "".join(words)
-    return any(map(vowelless, words)) or len(joined) - len(bones(joined)) < len(joined) // 3
+class _Form(NamedTuple):
+    words: list[str]
+    joined: str
+    bones: str
+    orders: list[str]
+    weak: bool
+
+
+@lru_cache(1 << 15)
+def _form(words: str) -> _Form:
+    """A form comes to several shards of a task."""
+    w = words.split()
+    joined = "".join(w)
+    return _Form(w, joined, bones(joined), _orders(w), few_vowels(w))
 
 
 class _Tries:
-    """Index forms as tries of their joined words in all orders (long: of more than three words, in the written order) and of
+    """Index forms as tries of their joined words in all orders (single: of one word; long: of more than three words, in the written order) and of
     their consonants (weak: of forms short of vowels); forms of more than three words also by single words, for other orders."""
 
-    __slots__ = ("whole", "long", "thin", "weak", "words", "bones")
+    __slots__ = ("whole", "single", "long", "thin", "weak", "words", "bones")
 
     def __init__(self) -> None:
-        self.whole, self.long, self.thin, self.weak, self.words, self.bones = Trie(), Trie(), Trie(), Trie(), Trie(), Trie()
+        self.whole, self.single, self.long, self.thin, self.weak, self.words, self.bones = (Trie() for _ in self.__slots__)
 
-    def add(self, words: list[str], weak: bool, k: int) -> None:
-        for j in _orders(words):
+    def add(self, form: _Form, k: int) -> None:
+        words = form.words
+        if len(words) == 1:
+            self.single.add(form.joined, k)
+        for j in form.orders:
             (self.whole if len(words) <= 3 else self.long).add(j, k)
-            thin = bones(j)
+            thin = bones(j) if len(words) > 1 else form.bones
             self.thin.add(thin, k)
-            if weak:
+            if form.weak:
                 self.weak.add(thin, k)
         if len(words) > 3:
             for w in set(words):
@@ -115,37 +139,59 @@ class _Tries:
         found: Counter = Counter()
         for w in words:
             n, b = len(w), bones(w)
-            # one more than names.py allows: a swap of letters is two edits here
-            found.update(self.words.search(w, 0 if n < 4 else 2 if n < 7 else 3 if n < 14 else 4) | self.bones.search(b, 2 if len(b) >= 6 else 0))
+            found.update(self.words.search(w, 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3) | self.bones.search(b, 1 if len(b) >= 6 else 0))
         return {k for k, c in found.items() if c >= len(words) - 1}
 
-    def search(self, words: list[str], weak: bool, bare: list[bool]) -> set[int]:
-        joined = "".join(words)
+    def search(self, form: _Form) -> set[int]:
+        words, joined = form.words, form.joined
         most = 1 if len(joined) < 7 else 2 if len(joined) < 14 else 3
         hits: set[int] = set()
-        for j in _orders(words) if len(words) == 3 else [joined]:  # two of three words may be one in the other form
+        for j in form.orders if len(words) == 3 else [joined]:  # two of three words may be one in the other form
             hits |= self.whole.search(j, most)
+        if len(words) == 2 and self.single.root:
+            hits |= self.single.search(words[1] + words[0], most)
         if self.long.root:
-            for j in _orders(words):
+            for j in form.orders:
                 hits |= self.long.search(j, most)
             if len(words) > 3:
                 hits |= self._by_word(set(words))
-        thin = bones(joined)
-        if weak or any(bare[k] for k in hits):
-            return hits | self.thin.search(thin, 1)
-        return hits | self.thin.search(thin, 0) | self.weak.search(thin, 1)
+        if form.weak:  # by the asking form alone, so the answer does not depend on how a shard is cut
+            return hits | self.thin.search(form.bones, 1)
+        hits |= self.thin.search(form.bones, 0)
+        return hits | self.weak.search(form.bones, 1) if self.weak.root else hits
 
 
 ANY = -1  # tries of the forms of all trades
 
 
+class _Index:
+    """The forms of a shard so far and their tries by trade. Forms go into the tries when another one asks, so a lone form never does."""
+
+    __slots__ = ("names", "added", "tries")
+
+    def __init__(self) -> None:
+        self.names: list[tuple[int, OrgName]] = []
+        self.added = 0
+        self.tries: dict[int, _Tries] = {}
+
+    def search(self, name: OrgName, all_trades: bool) -> set[int]:
+        for k in range(self.added, len(self.names)):
+            other = self.names[k][1]
+            for t in (other.trade, ANY) if other.trade and all_trades else (other.trade,):
+                self.tries.setdefault(t, _Tries()).add(_form(other.words), k)
+        self.added = len(self.names)
+        hits: set[int] = set()
+        for t in (name.trade or ANY, 0):  # a name that states a trade fits those of its own and those without one
+            if t in self.tries:
+                hits |= self.tries[t].search(_form(name.words))
+        return hits
+
+
 def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (shard, salt, size, form). Each asks for the forms before it (role 1 and 2) and is then searched by
     those after it (role 0 and 2): two forms meet once, and the longer one asks, with the wider bound."""
     here = None
-    index: list[tuple[int, OrgName]] = []
-    bare: list[bool] = []  # has a word without vowels
-    tries: dict[int, _Tries] = {}
+    sides: tuple = ()
     out: tuple[list, list, list] = ([], [], [])
 
     def flush() -> pa.RecordBatch:
@@ -158,16 +204,13 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "salt", "role", "form", "words", "given", "trade")]
         for shard, salt, role, form, words, given, trade in zip(*cols):
             if (shard, salt) != here:
-                here, index, bare, tries = (shard, salt), [], [], {}
-            name, mine = OrgName(words, given, trade, ""), words.split()
-            weak = _weak(mine)
-            if role and index:
-                hits: set[int] = set()
-                for t in (trade or ANY, 0):  # a name that states a trade fits those of its own and those without one
-                    if t in tries:
-                        hits |= tries[t].search(mine, weak, bare)
-                for k in hits:
-                    other, x = index[k]
+                here, sides = (shard, salt), (_Index(), _Index())
+            name = OrgName(words, given, trade, "")
+            mine = int(shard[0] == "^" and " " in words)  # joined words ask parted ones and the other way round
+            asked = sides[int(not mine) if shard[0] == "^" else 0]
+            if role and asked.names:
+                for k in asked.search(name, shard[0] in "=#*@^"):
+                    other, x = asked.names[k]
                     if other != form:
                         score = same_org(x, name)
                         if score:
@@ -175,10 +218,7 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             out[1].append(max(other, form))
                             out[2].append(score)
             if role != 1:
-                for t in (trade, ANY) if trade and shard[0] in "=#*" else (trade,):
-                    tries.setdefault(t, _Tries()).add(mine, weak, len(index))
-                index.append((form, name))
-                bare.append(any(map(vowelless, mine)))
+                sides[mine].names.append((form, name))
             if len(out[0]) > 20_000:
                 yield flush()
     if out[0]:

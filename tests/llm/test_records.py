@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from kinlink.llm.address import EMPTY, osa, parse, same_place
 from kinlink.llm.classes import link_classes
 from kinlink.llm.entities import best_left, best_sites, one_to_one, one_to_one_sites, ranked, site_candidates, solve
-from kinlink.llm.names import NO_NAME, parse_name, same_org
+from kinlink.llm.names import NO_NAME, OrgName, parse_name, same_org
 from kinlink.llm.neighbours import Gate, letter_mask, window_pairs
 from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.splits import grouped_splits, place, tied_pairs
 from kinlink.llm.trie import Trie
-from kinlink.llm.variants import name_classes, variant_pairs
+from kinlink.llm.variants import form_links, name_classes, shard_keys, variant_pairs
 
 
 def full_osa(a, b):
@@ -27,16 +27,6 @@ def full_osa(a, b):
     return d[-1][-1]
 
 
-def levenshtein(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
-
-
 def test_distances_and_trie():
     r = random.Random(2)
     words = ["".join(r.choice("abc") for _ in range(r.randint(0, 8))) for _ in range(120)]
@@ -45,7 +35,7 @@ def test_distances_and_trie():
         for i, w in enumerate(words):
             t.add(w, i)
         for q in words[:40]:
-            assert t.search(q, k) == {i for i, w in enumerate(words) if levenshtein(q, w) <= k}
+            assert t.search(q, k) == {i for i, w in enumerate(words) if full_osa(q, w) <= k}
             assert all(osa(q, w, k) == min(full_osa(q, w), k + 1) for w in words[:60])
 
 
@@ -356,3 +346,34 @@ def test_one_to_one_leaves_nobody_of_a_large_group_of_equals(spark):
     pairs = spark.range(70).select(F.col("id").alias("left_id")).crossJoin(spark.range(70).select(F.col("id").alias("right_id"))).withColumn("confidence", F.lit(0.9))
     got = one_to_one(pairs).collect()
     assert len(got) == len({r.left_id for r in got}) == len({r.right_id for r in got}) == 70
+
+
+def test_links_against_brute_force_and_grid(spark, monkeypatch):
+    """Nearly all pairs that the comparison accepts meet in a shard, and how large shards are cut changes nothing."""
+    r = random.Random(11)
+    syllables = ["ka", "mol", "ren", "vi", "tuz", "ber", "sol", "dan", "po", "lin", "gar", "fen"]
+    forms = set()
+    for _ in range(40):
+        words = ["".join(r.sample(syllables, r.randint(2, 4))) for _ in range(r.randint(1, 3))]
+        trade = r.choice([0, 3, 3, 7])
+        for _ in range(6):
+            w = list(words)
+            i = r.randrange(len(w))
+            j = r.randrange(len(w[i]) - 1)
+            w[i] = r.choice([w[i], w[i][:j] + w[i][j + 1 :], w[i][:j] + w[i][j + 1] + w[i][j] + w[i][j + 2 :], w[i][0] + "".join(c for c in w[i][1:] if c not in "aeiou")])
+            r.shuffle(w)
+            forms.add((" ".join(w) if r.random() < 0.8 else "".join(w), "", r.choice([trade, trade, 0])))
+    forms = [(k, *f, shard_keys(OrgName(*f, ""))) for k, f in enumerate(sorted(forms))]
+    want = {(a[0], b[0]) for a in forms for b in forms if a[0] < b[0] and same_org(OrgName(*a[1:4], ""), OrgName(*b[1:4], ""))}
+    df = spark.createDataFrame(forms, "form long, words string, given string, trade int, shards array<string>")
+    got = {(x.a, x.b) for x in form_links(df).collect()}
+    assert got <= want and len(got) >= 0.97 * len(want), sorted(want - got)[:5]
+    monkeypatch.setattr("kinlink.llm.variants.INDEX_PART", 3)
+    monkeypatch.setattr("kinlink.llm.variants.QUERY_PART", 5)
+    assert {(x.a, x.b) for x in form_links(df).collect()} == got
+
+
+def test_two_edits_in_two_words(spark):
+    names = spark.createDataFrame([("Kestrel Delmar Bakery",), ("Kestnel Delman Bakery",), ("Alpha Bravo Kestrel Delmar",), ("Delmar Alpha Bravo Kestrel",), ("Reno Lima Foods",), ("Lima Reno Foods",)], "text string")
+    cls = {x.text: x.cls for x in name_classes(names, names.limit(0)).collect()}
+    assert cls["Kestrel Delmar Bakery"] == cls["Kestnel Delman Bakery"] and cls["Alpha Bravo Kestrel Delmar"] == cls["Delmar Alpha Bravo Kestrel"] and cls["Reno Lima Foods"] == cls["Lima Reno Foods"]
