@@ -1,8 +1,8 @@
 """Unicode compatibility form and romanization to ASCII.
 
 Romanization is by rule: the letters of Indic scripts are read off their Unicode character names
-(consonant with inherent vowel, vowel signs, virama), Latin letters lose their marks, and Cyrillic and Greek go
-through two short tables. What has no rule becomes a space. `unidecode` is used instead where it is installed
+(consonant with inherent vowel, vowel signs, virama), as are Hangul syllables and Kana; Latin letters lose their marks, and alphabets go
+through short tables. What has no rule (ideographs, whose reading no rule gives) becomes a space. `unidecode` is used instead where it is installed
 and asked for.
 """
 
@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Romanization of the Cyrillic and Greek alphabets and of Latin letters without decomposition.
+# Romanization of alphabets and of Latin letters without decomposition.
 CYRILLIC = dict(
     zip(
         "абвгдежзийклмнопрстуфхцчшщъыьэюяіїєґјѕһўљњћђџ",
@@ -24,9 +24,21 @@ CYRILLIC = dict(
 )
 GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z i th i k l m n x o p r s s t y f ch ps o".split()))
 LATIN = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ł": "l", "þ": "th", "ð": "d", "ı": "i", "ħ": "h", "ŋ": "n"}
-MARKS = {"’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-", "‐": "-", "‑": "-", "−": "-", "…": "...", "·": ".", "№": "No", "ʼ": "'"}
+HEBREW = dict(zip("אבגדהוזחטיךכלםמןנסעףפץצקרשת", "a b g d h v z h t y k k l m m n n s a p p ts ts q r sh t".split()))
+ARABIC = dict(zip("ابتثجحخدذرزسشصضطظعغفقكلمنهويىةپچژگکی", "a b t th j h kh d dh r z s sh s d t z a gh f q k l m n h w y a h p ch zh g k y".split())) | {"ء": "", "ئ": "y", "ؤ": "w", "ـ": ""}
+THAI = dict(
+    zip(
+        "กขฃคฅฆงจฉชซฌญฎฏฐฑฒณดตถทธนบปผฝพฟภมยรลวศษสหฬอฮะาำิีึืุูเแโใไ",
+        "k kh kh kh kh kh ng ch ch ch s ch y d t th th th n d t th th th n b p ph f ph f ph m y r l w s s s h l o h a a am i i ue ue u u e ae o ai ai".split(),
+    )
+)
+ARMENIAN = dict(zip("աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ", "a b g d e z e e t zh i l kh ts k h dz gh ch m y n sh o ch p j r s v t r ts w p k o f".split()))
+GEORGIAN = dict(zip("აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "a b g d e v z t i k l m n o p zh r s t u p k gh q sh ch ts dz ts ch kh j h".split()))
+TABLES = (CYRILLIC, GREEK, LATIN, HEBREW, ARABIC, THAI, ARMENIAN, GEORGIAN)
+MARKS = {"’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-", "‐": "-", "‑": "-", "−": "-", "…": "...", "·": ".", "№": "No", "ʼ": "'", "ー": "", "・": " "}
 
 _LETTER = re.compile(r"^(DEVANAGARI|KANNADA|BENGALI|GUJARATI|GURMUKHI|TAMIL|TELUGU|MALAYALAM|ORIYA) (LETTER|VOWEL SIGN|SIGN|DIGIT) (.+)$")
+_NAMED = re.compile(r"^(?:HANGUL SYLLABLE|(?:HIRAGANA|KATAKANA) LETTER(?: SMALL)?) ([A-Z]+)$")
 _ASCII = re.compile(r"^[\x00-\x7f]*$")
 _memo: dict[str, tuple[str, str]] = {}
 
@@ -59,11 +71,14 @@ def _one(ch: str) -> tuple[str, str]:
         got = _indic(ch)
         if got is None:
             low = ch.lower()
+            known = next((t[low] for t in TABLES if low in t), None)
+            named = _NAMED.match(unicodedata.name(ch, ""))
             if ch in MARKS:
                 text = MARKS[ch]
-            elif low in CYRILLIC or low in GREEK or low in LATIN:
-                text = CYRILLIC.get(low) or GREEK.get(low) or LATIN[low]
-                text = text.replace("_", "")
+            elif named:
+                text = named[1].lower()
+            elif known is not None:
+                text = known.replace("_", "")
                 text = text.upper() if ch != low and len(text) == 1 else text.capitalize() if ch != low else text
             else:
                 base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))

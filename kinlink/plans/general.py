@@ -52,7 +52,17 @@ def p7_field_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {"p6_found": p6_found, "p6_country_counts": p6_country_counts, "p7_found": p7_found, "p7_field_report": p7_field_report}
+def p7_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Every value of every packed field as it was read, with its place among all values of the field and its flag: what is no id and what is quoted
+    wrongly too."""
+    parts = []
+    for name, column in (("train_matches", "matched_entity_ids"), ("candidate_pairs", "candidate_entity_ids")):
+        got = unpack(table(spark, d, name), column, ["pos"], ID_PATTERN, ID_SUFFIX, only_values=False)
+        parts.append(got.select(F.lit(name).alias("src_table"), "pos", "item_no", "value", "error"))
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES = {"p7_fields": p7_fields, "p6_found": p6_found, "p6_country_counts": p6_country_counts, "p7_found": p7_found, "p7_field_report": p7_field_report}
 
 _KEY = """CASE WHEN coalesce(lower(trim(country)), '') IN ('', 'na', 'n/a', 'null', 'none', 'nan', '-') THEN ''
  ELSE (SELECT CASE WHEN n IN ('us','usa','united states','united states of america') THEN 'us' WHEN n IN ('india','in') THEN 'india' ELSE n END

@@ -103,10 +103,6 @@ _scalar("address_location_tokens", "business_address", lambda c: _sets(tx.addres
 _scalar("numeric_tokens", "business_address", lambda c: _sets(tx.numeric_tokens(_address(c))), q.show(q.nums(_A)))
 _scalar("char_ngrams", "business_name", lambda c: _sets(tx.char_ngrams(_name(c))), q.show(q.grams(_N)))
 _scalar("token_pairs", "business_name", lambda c: _sets(tx.token_pairs(tx.tokens(_name(c)))), q.show(q.pairs_of(q.toks(_N))))
-_scalar("is_ascii_name", "business_name", lambda c: tx.is_ascii_name(c).cast("int"), "CASE WHEN regexp_matches(coalesce(business_name, ''), '[^\\x00-\\x7F\\x{1680}\\x{2000}-\\x{200a}\\x{3000}]') THEN 0 ELSE 1 END")
-del SQL["is_ascii_name"]
-
-
 @query("is_ascii_name", "SELECT pos, CASE WHEN regexp_matches(regexp_replace(coalesce(business_name, ''), '[ \\t\\n\\x0B\\f\\r]+', '', 'g'), '[^\\x00-\\x7F]') THEN 0 ELSE 1 END AS value FROM train_source1")
 def is_ascii_name(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "train_source1").select("pos", tx.is_ascii_name("business_name").cast("int").alias("value"))
@@ -168,7 +164,15 @@ _pair_query("exact_eq", lambda: {"name_eq": sim.exact_eq("a_name", "b_name"), "a
 _pair_query("country_equal_raw", lambda: {"value": sim.country_equal_raw("a_country_raw", "b_country_raw")}, "(acr = bcr)::INT AS value")
 
 
-@query("token_set_ratio")
+_SETS_SQL = f"""{_PAIR_CTE}, x AS (SELECT s1_id, target_id, {q.toks('an')} AS x, {q.toks('bn')} AS y FROM j),
+ y AS (SELECT s1_id, target_id, len(x) AS nx, len(y) AS ny, {q.show('list_intersect(x, y)')} AS c, {q.show('list_filter(x, lambda t: NOT list_contains(y, t))')} AS oa, {q.show('list_filter(y, lambda t: NOT list_contains(x, t))')} AS ob FROM x),
+ z AS (SELECT *, length(c)::DOUBLE AS n, (c <> '')::INT::DOUBLE AS gap, length(oa)::DOUBLE AS p, length(ob)::DOUBLE AS r, CASE WHEN oa = '' OR ob = '' THEN 0 ELSE {q.lcs('oa', 'ob')} END::DOUBLE AS l FROM y),
+ w AS (SELECT *, n + gap + p AS la, n + gap + r AS lb FROM z)
+SELECT s1_id, target_id, round(CASE WHEN nx = 0 OR ny = 0 THEN 0.0::DOUBLE WHEN c <> '' AND (oa = '' OR ob = '') THEN 1.0::DOUBLE WHEN c = '' THEN 1.0::DOUBLE - (p + r - 2.0::DOUBLE * l) / (la + lb)
+ ELSE greatest(1.0::DOUBLE - (p + r - 2.0::DOUBLE * l) / (la + lb), 1.0::DOUBLE - (gap + p) / (n + la), 1.0::DOUBLE - (gap + r) / (n + lb)) END, 6) AS value FROM w"""
+
+
+@query("token_set_ratio", _SETS_SQL)
 def token_set_ratio(spark: SparkSession, d: str) -> DataFrame:
     return _pairs_with(spark, d, value=_r(sim.token_set_ratio("a_name", "b_name")))
 
@@ -254,10 +258,19 @@ _union_query("block_union_v2", 2, None)
 _union_query(f"block_union_cap{LOW_CAP}", 1, LOW_CAP)
 
 
-@query("generate_candidates", f"{q.hits(V1, LOW_CAP)}, {q.CANDIDATES} SELECT s.id AS s1_id, target_id, min(s1_pos) AS s1_pos, min(t_pos) AS t_pos FROM cand JOIN s ON s.pos = s1_pos GROUP BY 1, 2")
-def generate_candidates(spark: SparkSession, d: str) -> DataFrame:
-    a, b = both_features(spark, d)
-    return bl.generate_candidates(a, b, _config(None, LOW_CAP))
+_NAMED = "SELECT s.id AS s1_id, target_id, min(s1_pos) AS s1_pos, min(t_pos) AS t_pos FROM cand JOIN s ON s.pos = s1_pos GROUP BY 1, 2"
+
+
+def _candidates_query(name: str, cap: int | None) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        a, b = both_features(spark, d)
+        return bl.generate_candidates(a, b, _config(None, cap))
+
+    query(name, f"{q.hits(V1, cap)}, {q.CANDIDATES} {_NAMED}")(run)
+
+
+_candidates_query("generate_candidates", None)
+_candidates_query(f"generate_candidates_cap{LOW_CAP}", LOW_CAP)
 
 
 @query("generate_candidates_full")
@@ -267,10 +280,17 @@ def generate_candidates_full(spark: SparkSession, d: str) -> DataFrame:
     return bl.generate_candidates(a, b, bl.BlockingConfig(version=2))
 
 
-@query("agg_debug_info", f"{q.hits(V1, LOW_CAP)} SELECT s.pos AS s1_pos, " + ", ".join(f"count(DISTINCT CASE WHEN family = {f} THEN t_pos END) AS {bl.FAMILIES[f]}" for f in V1) + ", count(DISTINCT t_pos) AS total FROM s LEFT JOIN hits ON hits.s1_pos = s.pos GROUP BY 1")
-def agg_debug_info(spark: SparkSession, d: str) -> DataFrame:
-    a, b = both_features(spark, d)
-    return bl.debug_info(a, b, _config(None, LOW_CAP))
+def _debug_query(name: str, cap: int | None) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        a, b = both_features(spark, d)
+        return bl.debug_info(a, b, _config(None, cap))
+
+    each = ", ".join(f"count(DISTINCT CASE WHEN family = {f} THEN t_pos END) AS {bl.FAMILIES[f]}" for f in V1)
+    query(name, f"{q.hits(V1, cap)} SELECT s.pos AS s1_pos, {each}, count(DISTINCT t_pos) AS total FROM s LEFT JOIN hits ON hits.s1_pos = s.pos GROUP BY 1")(run)
+
+
+_debug_query("agg_debug_info", None)
+_debug_query(f"agg_debug_info_cap{LOW_CAP}", LOW_CAP)
 
 
 _TP = f"WITH t AS MATERIALIZED ({q.feats(q.T_ENTS)}), tp AS ({q.postings('t', range(9))}), df AS (SELECT family, country, key, count(*) AS n FROM tp GROUP BY ALL)"
@@ -290,11 +310,11 @@ def filter_df_cap(spark: SparkSession, d: str) -> DataFrame:
     return bl.capped(_frequency(spark, d), _config(None, LOW_CAP)).groupBy("family").agg(F.count("*").alias("n_keys"), F.sum("df").alias("n_postings"))
 
 
-@query("agg_shared_count", f"{q.hits((8,), LOW_CAP)}, n AS (SELECT s1_pos, t_pos, count(*) AS n FROM shared GROUP BY 1, 2) SELECT hits.s1_pos, hits.t_pos, n::INT AS shared FROM hits JOIN n ON n.s1_pos = hits.s1_pos AND n.t_pos = hits.t_pos")
+@query("agg_shared_count", f"{q.hits((8,))}, n AS (SELECT s1_pos, t_pos, count(*) AS n FROM shared GROUP BY 1, 2) SELECT hits.s1_pos, hits.t_pos, n::INT AS shared FROM hits JOIN n ON n.s1_pos = hits.s1_pos AND n.t_pos = hits.t_pos")
 def agg_shared_count(spark: SparkSession, d: str) -> DataFrame:
     """Shared rare grams of the pairs that have enough of them."""
     a, b = both_features(spark, d)
-    return bl.ngram_hits(a, b, _config((bl.NGRAM,), LOW_CAP))
+    return bl.ngram_hits(a, b, _config((bl.NGRAM,)))
 
 
 @query("filter_min_shared", f"SELECT pos, CASE WHEN g <= 4 THEN 1 ELSE greatest(2, ceil(g::DOUBLE * 0.3::DOUBLE)::INT) END AS required FROM (SELECT pos, len({q.grams(_N)}) AS g FROM train_source1)")
@@ -310,24 +330,45 @@ def filter_min_len(spark: SparkSession, d: str) -> DataFrame:
 
 # -- evaluation --------------------------------------------------------------------------------------------------------
 
-_METRICS = f"""WITH s AS (SELECT entity_id AS s1_id FROM train_source1), c AS ({q.LISTED}), g AS ({q.TRUTH}),
+def _metrics_sql(candidates: str, before: str = "WITH") -> str:
+    return f"""{before} c AS ({candidates}), g AS ({q.TRUTH}), ids AS (SELECT entity_id AS s1_id FROM train_source1),
  n AS (SELECT s1_id, count(*) AS n FROM c GROUP BY 1), gt AS (SELECT s1_id, count(*) AS gt FROM g GROUP BY 1), h AS (SELECT s1_id, count(*) AS hit FROM c JOIN g USING (s1_id, target_id) GROUP BY 1),
- j AS (SELECT coalesce(n, 0) AS n, coalesce(gt, 0) AS gt, coalesce(hit, 0) AS hit FROM s LEFT JOIN n USING (s1_id) LEFT JOIN gt USING (s1_id) LEFT JOIN h USING (s1_id)),
+ j AS (SELECT coalesce(n, 0) AS n, coalesce(gt, 0) AS gt, coalesce(hit, 0) AS hit FROM ids LEFT JOIN n USING (s1_id) LEFT JOIN gt USING (s1_id) LEFT JOIN h USING (s1_id)),
  a AS (SELECT count(*) AS n_s1, sum(n)::BIGINT AS candidate_pairs, avg(n) AS mean_candidates, median(n)::DOUBLE AS median_candidates, max(n) AS max_candidates, count(*) FILTER (n = 0) AS zero_candidates,
    sum(gt)::BIGINT AS gt_pairs, sum(hit)::BIGINT AS gt_found, count(*) FILTER (hit > 0) AS any_match, count(*) FILTER (gt > 0 AND hit = gt) AS all_match FROM j),
- t AS (SELECT (SELECT count(*) FROM train_source2) + (SELECT count(*) FROM train_source3) AS t)
+ nt AS (SELECT (SELECT count(*) FROM train_source2) + (SELECT count(*) FROM train_source3) AS nt)
 SELECT n_s1, candidate_pairs, round(mean_candidates, 6) AS mean_candidates, median_candidates, max_candidates, zero_candidates, gt_pairs, gt_found, any_match, all_match,
  round(CASE WHEN gt_pairs > 0 THEN gt_found::DOUBLE / gt_pairs::DOUBLE ELSE 0.0 END, 6) AS match_recall, round(any_match::DOUBLE / n_s1::DOUBLE, 6) AS any_recall, round(all_match::DOUBLE / n_s1::DOUBLE, 6) AS all_recall,
- round(1.0::DOUBLE - candidate_pairs::DOUBLE / (n_s1::DOUBLE * t::DOUBLE), 9) AS reduction FROM a, t"""
+ round(1.0::DOUBLE - candidate_pairs::DOUBLE / (n_s1::DOUBLE * nt::DOUBLE), 9) AS reduction FROM a, nt"""
 
 
-@query("agg_blocking_metrics", _METRICS)
-def agg_blocking_metrics(spark: SparkSession, d: str) -> DataFrame:
-    s = s1_entities(spark, d).select("id")
-    m = ev.blocking_metrics(s, target_entities(spark, d).select("pos"), listed_pairs(spark, d), truth(spark, d))
+_ENGINE = f"{q.hits(V1)}, {q.CANDIDATES},"
+_ENGINE_PAIRS = "SELECT DISTINCT s.id AS s1_id, target_id FROM cand JOIN s ON s.pos = s1_pos"
+
+
+def _metrics(spark: SparkSession, d: str, candidates: DataFrame) -> DataFrame:
+    m = ev.blocking_metrics(s1_entities(spark, d).select("id"), target_entities(spark, d).select("pos"), candidates, truth(spark, d))
     return m.select(*[F.round(c, 9 if c == "reduction" else 6).alias(c) if t == "double" and c != "median_candidates" else F.col(c) for c, t in m.dtypes])
 
 
+def _engine_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The engine's own candidates: version 1, default caps."""
+    a, b = both_features(spark, d)
+    return cut(bl.generate_candidates(a, b, _config()).select("s1_id", "target_id"))
+
+
+@query("agg_blocking_metrics", _metrics_sql(q.LISTED))
+def agg_blocking_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Of the delivered candidate lists."""
+    return _metrics(spark, d, listed_pairs(spark, d))
+
+
+@query("pipeline_blocking_metrics", _metrics_sql(_ENGINE_PAIRS, _ENGINE))
+def pipeline_blocking_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Recall, reduction and candidates per record of the engine's own blocking at the default caps."""
+    return _metrics(spark, d, _engine_pairs(spark, d))
+
+
 def _lists(pairs: DataFrame, records: DataFrame) -> DataFrame:
     got = pairs.groupBy("s1_id").agg(F.collect_set("target_id").alias("ids"))
     return records.select("s1_id").distinct().join(got, "s1_id", "left").select("s1_id", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
@@ -338,12 +379,16 @@ def _truth_and_predicted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFr
     return _lists(truth(spark, d), t), listed_pairs(spark, d).groupBy("s1_id").agg(F.collect_set("target_id").alias("ids"))
 
 
-_FB = f"""WITH g AS ({q.TRUTH}), c AS ({q.LISTED}), i AS (SELECT DISTINCT source1_entity_id AS s1_id FROM train_matches),
- x AS (SELECT s1_id, coalesce(t, 0)::DOUBLE AS t, coalesce(p, 0)::DOUBLE AS p, coalesce(b, 0)::DOUBLE AS b FROM i LEFT JOIN (SELECT s1_id, count(*) AS t FROM g GROUP BY 1) USING (s1_id)
-   LEFT JOIN (SELECT s1_id, count(*) AS p FROM c GROUP BY 1) USING (s1_id) LEFT JOIN (SELECT s1_id, count(*) AS b FROM c JOIN g USING (s1_id, target_id) GROUP BY 1) USING (s1_id)),
+def _fb_sql(candidates: str, before: str = "WITH") -> str:
+    return f"""{before} g AS ({q.TRUTH}), c AS ({candidates}), i AS (SELECT DISTINCT source1_entity_id AS s1_id FROM train_matches),
+ x AS (SELECT s1_id, coalesce(nt, 0)::DOUBLE AS t, coalesce(np, 0)::DOUBLE AS p, coalesce(nb, 0)::DOUBLE AS b FROM i LEFT JOIN (SELECT s1_id, count(*) AS nt FROM g GROUP BY 1) USING (s1_id)
+   LEFT JOIN (SELECT s1_id, count(*) AS np FROM c GROUP BY 1) USING (s1_id) LEFT JOIN (SELECT s1_id, count(*) AS nb FROM c JOIN g USING (s1_id, target_id) GROUP BY 1) USING (s1_id)),
  f AS (SELECT s1_id, CASE WHEN t = 0 AND p = 0 THEN 1.0::DOUBLE WHEN t = 0 OR p = 0 OR b = 0 THEN 0.0::DOUBLE ELSE 1.25::DOUBLE * (b / p) * (b / t) / (0.25::DOUBLE * (b / p) + b / t) END AS f FROM x)"""
 
 
+_FB = _fb_sql(q.LISTED)
+
+
 @query("agg_entity_fbeta", f"{_FB} SELECT s1_id, round(f, 6) AS f FROM f")
 def agg_entity_fbeta(spark: SparkSession, d: str) -> DataFrame:
     return ev.entity_fbeta(*_truth_and_predicted(spark, d)).select("s1_id", F.round("f", 6).alias("f"))
@@ -354,6 +399,14 @@ def agg_macro_fbeta(spark: SparkSession, d: str) -> DataFrame:
     return ev.macro_fbeta(*_truth_and_predicted(spark, d)).select(F.round("macro_f", 6).alias("macro_f"), "n")
 
 
+@query("pipeline_blocking_macro_fbeta", f"{_fb_sql(_ENGINE_PAIRS, _ENGINE)} SELECT round(avg(f), 6) AS macro_f, count(*) AS n FROM f")
+def pipeline_blocking_macro_fbeta(spark: SparkSession, d: str) -> DataFrame:
+    """Macro F0.5 if every candidate of the engine's blocking were taken for a match."""
+    wanted, _ = _truth_and_predicted(spark, d)
+    found = _engine_pairs(spark, d).groupBy("s1_id").agg(F.collect_set("target_id").alias("ids"))
+    return ev.macro_fbeta(wanted, found).select(F.round("macro_f", 6).alias("macro_f"), "n")
+
+
 @query("fbeta", f"WITH x AS (SELECT s1_id, count(*)::DOUBLE AS n FROM ({q.LISTED}) GROUP BY 1) SELECT s1_id, round(CASE WHEN n > 8 THEN 0.0::DOUBLE ELSE 1.25::DOUBLE * (1.0::DOUBLE / n) * 0.5::DOUBLE / (0.25::DOUBLE * (1.0::DOUBLE / n) + 0.5::DOUBLE) END, 6) AS f FROM x")
 def fbeta(spark: SparkSession, d: str) -> DataFrame:
     """The column function on a precision of 1 / candidates and a recall of 0.5, both 0 beyond eight candidates."""
@@ -550,20 +603,18 @@ def classify_reason(spark: SparkSession, d: str) -> DataFrame:
     return dg.missed_pairs_report(truth(spark, d), _none(spark), a, b).select("s1_entity_id", "target_entity_id", "reason")
 
 
-_EXACT_CAND = f"{q.hits((0, 1))}, {q.CANDIDATES}, named AS (SELECT DISTINCT s.id AS s1_id, target_id FROM cand JOIN s ON s.pos = s1_pos)"
-_MISSED = f"{_EXACT_CAND}, {_REPORT_CTE.removeprefix('WITH ')} SELECT {', '.join(dg.REPORT)} FROM m ANTI JOIN named ON named.s1_id = s1_entity_id AND named.target_id = target_entity_id"
+_ENGINE_REPORT = f"{_ENGINE} named AS ({_ENGINE_PAIRS}), {_REPORT_CTE.removeprefix('WITH ')}".replace(" a AS (", " da AS (").replace(" b AS (", " db AS (").replace("JOIN a ON a.id", "JOIN da a ON a.id").replace("JOIN b ON b.id", "JOIN db b ON b.id")
+_MISSED = f"{_ENGINE_REPORT} SELECT {', '.join(dg.REPORT)} FROM m ANTI JOIN named ON named.s1_id = s1_entity_id AND named.target_id = target_entity_id"
 
 
-def _missed(spark: SparkSession, d: str, families: tuple[int, ...] | None = (bl.EXACT_NAME, bl.EXACT_CORE)) -> DataFrame:
-    x, y = both_features(spark, d)
-    found = bl.generate_candidates(x, y, _config(families))
+def _missed(spark: SparkSession, d: str) -> DataFrame:
     a, b = _described_pairs(spark, d)
-    return dg.missed_pairs_report(truth(spark, d), found, a, b)
+    return dg.missed_pairs_report(truth(spark, d), _engine_pairs(spark, d), a, b)
 
 
 @query("missed_pairs_report", _MISSED)
 def missed_pairs_report(spark: SparkSession, d: str) -> DataFrame:
-    """Truth pairs that blocking by equal names and equal name cores alone misses."""
+    """Truth pairs that blocking by all families of version 1 at the default caps misses."""
     return _missed(spark, d)
 
 
@@ -572,17 +623,6 @@ def agg_value_counts(spark: SparkSession, d: str) -> DataFrame:
     return dg.reason_counts(_missed(spark, d))
 
 
-@query("missed_pairs_report_full")
-def missed_pairs_report_full(spark: SparkSession, d: str) -> DataFrame:
-    """Truth pairs that blocking by all families of version 1 at the default caps misses."""
-    return _missed(spark, d, None)
-
-
-@query("agg_value_counts_full")
-def agg_value_counts_full(spark: SparkSession, d: str) -> DataFrame:
-    return dg.reason_counts(_missed(spark, d, None))
-
-
 def _sources(spark: SparkSession, d: str) -> list[DataFrame]:
     return [table(spark, d, t) for t in ("train_matches", "train_source1", "train_source2", "train_source3")]
 
@@ -710,6 +750,41 @@ def train_summary(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(s["pairs"], s["positives"], s["model"])], "pairs bigint, positives bigint, model string")
 
 
+@query("filter_threshold", f"{_PAIR_CTE} SELECT s1_id, target_id, round({q.jaccard(q.toks('an'), q.toks('bn'))}, 6) AS probability FROM j WHERE {q.jaccard(q.toks('an'), q.toks('bn'))} >= {md.THRESHOLD}::DOUBLE")
+def filter_threshold(spark: SparkSession, d: str) -> DataFrame:
+    """The decision rule by itself, on the share of common words in the place of a model's probability."""
+    scored = _pairs_with(spark, d, probability=sim.jaccard("a_name_tokens", "b_name_tokens"))
+    return md.at_least(scored).select("s1_id", "target_id", F.round("probability", 6).alias("probability"))
+
+
+@query("train_guard", "SELECT 'no true pair is among the candidates' AS refused, count(*) AS pairs FROM (" + q.LISTED + ")")
+def train_guard(spark: SparkSession, d: str) -> DataFrame:
+    """Training without a true pair among the candidates is refused."""
+    rows = cut(_labelled(spark, d).withColumn("label", F.lit(0)))
+    try:
+        md.train(rows)
+        refused = ""
+    except ValueError as e:
+        refused = str(e)
+    return rows.agg(F.lit(refused).alias("refused"), F.count("*").alias("pairs"))
+
+
+@query("pipeline_macro_fbeta")
+def pipeline_macro_fbeta(spark: SparkSession, d: str) -> DataFrame:
+    """The whole pipeline measured: blocking at the default caps, a model learnt from the truth of half of the records, and the macro F0.5 of
+    its predictions for the other half at several thresholds."""
+    a, b = both_features(spark, d)
+    found = cut(bl.generate_candidates(a, b, _config()))
+    rows = cut(pr.label_join(pr.pair_features(found, a, b), truth(spark, d)))
+    wanted, _ = _truth_and_predicted(spark, d)
+    known = wanted.select("s1_id", (F.pmod(F.xxhash64("s1_id"), F.lit(2)) == 0).alias("learn"))
+    rows = rows.join(known, "s1_id")
+    model, _ = md.train(cut(rows.where("learn")))
+    scored = cut(md.score(model, rows.where("not learn")).select("s1_id", "target_id", "probability"))
+    asked = wanted.join(known.where("not learn"), "s1_id", "left_semi")
+    return md.threshold_scan(scored, asked, [0.5, 0.6, 0.7, 0.8, 0.9])
+
+
 @query("sink_model")
 def sink_model(spark: SparkSession, d: str) -> DataFrame:
     """Saved, loaded again and applied."""

@@ -103,3 +103,16 @@ def test_components(spark, seed):
             parent[max(find(a), find(b))] = min(find(a), find(b))
     assert got == {x: find(x) for x in list(parent)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_fields_query_shows_the_flags(spark, tmp_path):
+    """What is no id and what is quoted wrongly has a row with its flag; the query of the ids leaves it out."""
+    from kinlink.plans.general import QUERIES
+
+    rows = [(1, "S2-00000001, \"S2-00000002"), (2, "nonsense; S3-00000003"), (3, None), (4, "")]
+    for name, column in (("train_matches", "matched_entity_ids"), ("candidate_pairs", "candidate_entity_ids")):
+        spark.createDataFrame(rows, f"pos long, {column} string").write.parquet(str(tmp_path / f"{name}.parquet"))
+    flags = {(r.pos, r.value): r.error for r in QUERIES["p7_fields"](spark, str(tmp_path)).collect()}
+    assert flags[1, "S2-00000001"] == 0 and flags[2, "nonsense"] == 3 and flags[2, "S3-00000003"] == 0
+    assert {p for p, _ in flags} == {1, 2} and any(e == 1 for e in flags.values())
+    assert {r.entity_id for r in QUERIES["p7_found"](spark, str(tmp_path)).collect()} >= {"S2-00000001", "S3-00000003"}

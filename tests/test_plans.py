@@ -23,7 +23,7 @@ def test_entry(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["block_union", "pair_features", "p6_country_counts", "p7_found", "agg_blocking_metrics", "missed_pairs_report", "filter_gt_available"])
+@pytest.mark.parametrize("name", ["block_union", "pair_features", "p6_country_counts", "p7_found", "agg_blocking_metrics", "pipeline_blocking_metrics", "token_set_ratio", "missed_pairs_report", "filter_gt_available"])
 def test_against_sql(spark, name):
     import duckdb
 
@@ -43,10 +43,15 @@ def test_against_sql(spark, name):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_missed_pairs_of_all_families(spark):
     """Pairs that any family finds are not reported."""
-    import __spark_entry__ as e
+    from kinlink.operators import blocking as bl
+    from kinlink.operators import diagnose as dg
+    from kinlink.plans import linkage as ln
 
     ids = ["s1_entity_id", "target_entity_id"]
-    exact, full = ({tuple(r) for r in e.queries()[n](spark, SF).select(*ids).collect()} for n in ("missed_pairs_report", "missed_pairs_report_full"))
+    x, y = ln.both_features(spark, SF)
+    by_name = bl.generate_candidates(x, y, ln._config((bl.EXACT_NAME, bl.EXACT_CORE)))
+    exact = dg.missed_pairs_report(ln.truth(spark, SF), by_name, *ln._described_pairs(spark, SF))
+    exact, full = ({tuple(r) for r in df.select(*ids).collect()} for df in (exact, ln.QUERIES["missed_pairs_report"](spark, SF)))
     assert full < exact
 
 
@@ -96,6 +101,65 @@ def test_resolver(spark, tmp_path):
     assert same == matched
 
 
+def test_command_line(spark, tmp_path):
+    """TSV files in, a model and both result files out."""
+    from kinlink.__main__ import main
+    from kinlink.sources.tsv import scan_tsv, sink_tsv
+
+    *sources, truth = _tables(spark)
+    named = ["entity_id", "business_name", "business_address", "country"]
+    args = []
+    for k, df in enumerate(sources, 1):
+        sink_tsv(df.select(*named).coalesce(1).sortWithinPartitions("entity_id"), str(tmp_path / f"s{k}"))
+        args += [f"--source{k}", str(tmp_path / f"s{k}")]
+    lists = truth.groupBy(F.col("s1_id").alias("source1_entity_id")).agg(F.concat_ws(",", F.collect_list("target_id")).alias("matched_entity_ids"))
+    sink_tsv(lists, str(tmp_path / "truth"))
+    model = ["--model", str(tmp_path / "model")]
+    assert main(["train", *args, *model, "--truth", str(tmp_path / "truth"), "--rounds", "2"], spark)["positives"] == 16
+    done = main(["predict", *args, *model, "--output", str(tmp_path / "out"), "--threshold", "0.5"], spark)
+    assert done["matching_results"] == done["candidate_pairs"] == 8
+    assert set(scan_tsv(spark, str(tmp_path / "out" / "candidate_pairs")).columns) == {"source1_entity_id", "candidate_entity_ids"}
+    with pytest.raises(FileNotFoundError):
+        main(["predict", "--source1", str(tmp_path / "none"), *args[2:], *model, "--output", str(tmp_path / "x")], spark)
+
+
+def test_threshold_scan_is_one_measure_for_each_threshold(spark):
+    from kinlink.operators.evaluate import macro_fbeta
+    from kinlink.plans import model as md
+
+    scored = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.6), ("b", "x", 0.7), ("c", "z", None)], "s1_id string, target_id string, probability double")
+    truth = spark.createDataFrame([("a", ["x"]), ("b", ["y"]), ("c", []), ("d", ["w"])], "s1_id string, ids array<string>")
+    got = {r.threshold: (r.macro_f, r.n) for r in md.threshold_scan(scored, truth, [0.5, 0.8, 0.95]).collect()}
+    for t, (f, n) in got.items():
+        predicted = md.at_least(scored, t).groupBy("s1_id").agg(F.collect_set("target_id").alias("ids"))
+        one = macro_fbeta(truth, predicted).first()
+        assert abs(one.macro_f - f) < 1e-12 and one.n == n == 4
+    assert len(got) == 3
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from kinlink import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+
+
 def test_train_guards(spark):
     from kinlink.operators.pairs import FEATURES
     from kinlink.plans import model as md

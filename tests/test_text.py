@@ -84,3 +84,10 @@ def test_similarity(spark):
     df = spark.createDataFrame([("US", "us"), ("US", "USA")], "a string, b string")
     assert rows(df.select(sim.country_equal_raw("a", "b"))) == [(0,), (1,)]
     assert rows(df.select(F.col("a"), sim.token_jaccard("a", "b"))) == [("US", 0.0), ("US", 1.0)]
+
+
+def test_scripts_without_decomposition():
+    from kinlink.functions.translit import romanize
+
+    want = {"서울": "seoul", "さくら": "sakura", "ラーメン": "ramen", "שלום": "shlvm", "محمد": "mhmd", "თბილისი": "tbilisi", "Երևան": "Erewan", "東京 Café": "   Cafe"}
+    assert {k: romanize(k) for k in want} == want
