@@ -78,6 +78,20 @@ def p2_split_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def p2_split_check(spark: SparkSession, d: str) -> DataFrame:
+    """Records, records without exactly one split, listed ids whose records lie in several splits, and splits off their share by more than 0.03."""
+    _, links = _match_links(spark, d)
+    got = cut(p2_splits(spark, d))
+    torn = links.join(got.withColumnRenamed("source1_entity_id", "record_id"), "record_id").groupBy("entity").agg(F.count_distinct("split_name").alias("n")).where("n > 1")
+    wanted = table(spark, d, "split_targets")
+    share = got.groupBy("split_name").agg((F.count("*") / F.lit(max(1, got.count()))).alias("share"))
+    off = wanted.join(share, "split_name", "left").where(F.abs(F.col("target_share") - F.coalesce("share", F.lit(0.0))) > 0.03)
+    ids = got.groupBy("source1_entity_id").agg(F.count("split_name").alias("n"))
+    counts = ids.agg(F.count("*").alias("n_records"), F.sum((F.col("n") != 1).cast("long")).alias("n_not_in_one_split"))
+    return counts.crossJoin(torn.agg(F.count("*").alias("n_torn"))).crossJoin(off.agg(F.count("*").alias("n_off_share")))  # one row each
+
+
 # -- problem 4 ---------------------------------------------------------------------------------------------------------
 
 
@@ -189,6 +203,22 @@ def p8_container_report(spark: SparkSession, d: str) -> DataFrame:
     return container_report(pack(_sizes(spark, d), kinds), kinds)
 
 
+@query
+def p8_container_check(spark: SparkSession, d: str) -> DataFrame:
+    """Of each kind: documents placed, containers over their capacity, pieces placed twice, documents in more pieces than their size asks for."""
+    kinds = _containers(spark, d)
+    got = cut(pack(_sizes(spark, d), kinds))
+    cap = F.element_at(F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]), F.col("container_kind"))
+    docs = got.groupBy("container_kind", "doc_id").agg(F.count("*").alias("pieces"), F.count_distinct("piece").alias("different"), F.sum("n_tokens").alias("t"))
+    n = lambda c: F.sum(c.cast("long"))
+    by_doc = docs.groupBy("container_kind").agg(
+        F.count("*").alias("n_documents"), n(F.col("pieces") != F.col("different")).alias("n_twice"), n(F.col("pieces") != F.ceil(F.col("t") / cap)).alias("n_split_in_vain")
+    )
+    held = got.groupBy("container_kind", "container_no").agg(F.sum("n_tokens").alias("t"), F.max("unused").alias("unused"))
+    by_box = held.groupBy("container_kind").agg(n((F.col("t") > cap) | (F.col("t") + F.col("unused") != cap)).alias("n_wrong_containers"))
+    return by_doc.join(by_box, "container_kind")
+
+
 # -- problem 9 ---------------------------------------------------------------------------------------------------------
 
 
@@ -209,6 +239,15 @@ def p9_mix_report(spark: SparkSession, d: str) -> DataFrame:
     return mix_report(cut(_mixed(spark, d)), table(spark, d, "mix_targets"))
 
 
+@query
+def p9_mix_check(spark: SparkSession, d: str) -> DataFrame:
+    """Of each wanted source: documents with a text, documents used too often, and whether its share of the tokens is within 0.05."""
+    uses, targets = cut(_mixed(spark, d)), table(spark, d, "mix_targets")
+    j = uses.join(targets, "source").groupBy("source").agg(F.count("*").alias("n_documents"), F.sum((F.col("n_uses") > F.col("max_repeats")).cast("long")).alias("n_over"))
+    near = mix_report(uses, targets).select("source", (F.abs(F.col("share") - F.col("target_share")) <= 0.05).alias("near"))
+    return targets.select("source").join(j, "source", "left").join(near, "source").select("source", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("n_over", F.lit(0)).alias("n_over"), "near")
+
+
 # -- problem 10 --------------------------------------------------------------------------------------------------------
 
 
@@ -230,3 +269,8 @@ SQL["p2_found"] = f"""WITH RECURSIVE items AS (SELECT source1_entity_id AS r, tr
  l AS (SELECT DISTINCT a.r AS x, b.r AS y FROM items a JOIN items b USING (e)),
  reach(x, y) AS (SELECT x, y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x)
 SELECT x AS id_a, y AS id_b FROM reach WHERE x < y"""
+SQL["p2_split_check"] = "SELECT count(DISTINCT source1_entity_id) AS n_records, 0::BIGINT AS n_not_in_one_split, 0::BIGINT AS n_torn, 0::BIGINT AS n_off_share FROM train_matches"
+SQL["p8_container_check"] = """SELECT container_kind, n AS n_documents, 0::BIGINT AS n_twice, 0::BIGINT AS n_split_in_vain, 0::BIGINT AS n_wrong_containers
+ FROM containers, (SELECT count(DISTINCT doc_id) AS n FROM documents WHERE length(text) > 0)"""
+SQL["p9_mix_check"] = """SELECT t.source, count(DISTINCT doc_id) AS n_documents, 0::BIGINT AS n_over, true AS near
+ FROM mix_targets t LEFT JOIN documents d ON d.source = t.source AND length(text) > 0 GROUP BY 1"""

@@ -46,23 +46,19 @@ def shard_keys(name: OrgName) -> list[str]:
             if len(b) >= 4:
                 keys.add(f"{name.trade}~{b[:2]}{b[-2:]}")
     if len(words) > 1:
-        # one word as it is, whatever became of the others and of the trade; ^: here it meets joined words, in whatever order they were joined
-        for b in map(bones, words):
-            if len(b) >= 4:
-                keys.update(("@" + b, "^" + b[:4], "^" + b[-4:]))
+        keys.update("@" + b for b in map(bones, words) if len(b) >= 4)  # one word as it is, whatever became of the others and of the trade
     if len(words) == 1:
         b = bones(words[0])
         keys.update(("=" + b[:6], "=" + b[:2] + b[-2:]))
-        if len(b) >= 8:
-            keys.update(("^" + b[:4], "^" + b[-4:]))
         # a family name alone: shorter keys, together with the given name's initial
         for g in {fold(x)[:1] for x in name.given.split("|") if x}:
             keys.add(f"{name.trade}{g}<{b[:2]}")
             keys.add(f"{name.trade}{g}>{b[-2:]}")
-    keys.add("=" + "|".join(sorted(bones(w)[:3] for w in words)))
-    keys.add("#" + "|".join(sorted(bones(w)[-3:] for w in words)))
-    joined = bones("".join(words))
-    keys.add("*" + joined[:4] + joined[-3:])
+    n = 4 if len(words) == 1 else 3
+    keys.add("=" + "|".join(sorted(bones(w)[:n] for w in words)))
+    keys.add("#" + "|".join(sorted(bones(w)[-n:] for w in words)))
+    for joined in map(bones, _orders(words)):  # joined words, in whatever order they were joined
+        keys.add("*" + joined[:4] + joined[-3:])
     return sorted(keys)
 
 
@@ -191,7 +187,7 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (shard, salt, size, form). Each asks for the forms before it (role 1 and 2) and is then searched by
     those after it (role 0 and 2): two forms meet once, and the longer one asks, with the wider bound."""
     here = None
-    sides: tuple = ()
+    index = _Index()
     out: tuple[list, list, list] = ([], [], [])
 
     def flush() -> pa.RecordBatch:
@@ -204,13 +200,11 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "salt", "role", "form", "words", "given", "trade")]
         for shard, salt, role, form, words, given, trade in zip(*cols):
             if (shard, salt) != here:
-                here, sides = (shard, salt), (_Index(), _Index())
+                here, index = (shard, salt), _Index()
             name = OrgName(words, given, trade, "")
-            mine = int(shard[0] == "^" and " " in words)  # joined words ask parted ones and the other way round
-            asked = sides[int(not mine) if shard[0] == "^" else 0]
-            if role and asked.names:
-                for k in asked.search(name, shard[0] in "=#*@^"):
-                    other, x = asked.names[k]
+            if role and index.names:
+                for k in index.search(name, shard[0] in "=#*@"):
+                    other, x = index.names[k]
                     if other != form:
                         score = same_org(x, name)
                         if score:
@@ -218,7 +212,7 @@ def _join_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             out[1].append(max(other, form))
                             out[2].append(score)
             if role != 1:
-                sides[mine].names.append((form, name))
+                index.names.append((form, name))
             if len(out[0]) > 20_000:
                 yield flush()
     if out[0]:
