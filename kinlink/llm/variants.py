@@ -110,10 +110,12 @@ class _Tries:
     """Index forms as tries of their joined words in all orders (single: of one word; long: of more than three words, in the written order) and of
     their consonants (weak: of forms short of vowels); forms of more than three words also by single words, for other orders."""
 
-    __slots__ = ("whole", "single", "long", "thin", "weak", "words", "bones")
+    __slots__ = ("whole", "single", "long", "weak", "words", "bones", "equal", "thin", "n_thin")
 
     def __init__(self) -> None:
-        self.whole, self.single, self.long, self.thin, self.weak, self.words, self.bones = (Trie() for _ in self.__slots__)
+        self.whole, self.single, self.long, self.weak, self.words, self.bones = (Trie() for _ in range(6))
+        self.equal: dict[str, list[int]] = {}  # by consonants; they go into a trie when a form short of vowels asks
+        self.thin, self.n_thin = Trie(), 0
 
     def add(self, form: _Form, k: int) -> None:
         words = form.words
@@ -122,7 +124,7 @@ class _Tries:
         for j in form.orders:
             (self.whole if len(words) <= 3 else self.long).add(j, k)
             thin = bones(j) if len(words) > 1 else form.bones
-            self.thin.add(thin, k)
+            self.equal.setdefault(thin, []).append(k)
             if form.weak:
                 self.weak.add(thin, k)
         if len(words) > 3:
@@ -135,7 +137,7 @@ class _Tries:
         found: Counter = Counter()
         for w in words:
             n, b = len(w), bones(w)
-            found.update(self.words.search(w, 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3) | self.bones.search(b, 1 if len(b) >= 6 else 0))
+            found.update({*self.words.search(w, 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3), *self.bones.search(b, 1 if len(b) >= 6 else 0)})
         return {k for k, c in found.items() if c >= len(words) - 1}
 
     def search(self, form: _Form) -> set[int]:
@@ -143,18 +145,23 @@ class _Tries:
         most = 1 if len(joined) < 7 else 2 if len(joined) < 14 else 3
         hits: set[int] = set()
         for j in form.orders if len(words) == 3 else [joined]:  # two of three words may be one in the other form
-            hits |= self.whole.search(j, most)
+            hits.update(self.whole.search(j, most))
         if len(words) == 2 and self.single.root:
-            hits |= self.single.search(words[1] + words[0], most)
+            hits.update(self.single.search(words[1] + words[0], most))
         if self.long.root:
             for j in form.orders:
-                hits |= self.long.search(j, most)
+                hits.update(self.long.search(j, most))
             if len(words) > 3:
                 hits |= self._by_word(set(words))
         if form.weak:  # by the asking form alone, so the answer does not depend on how a shard is cut
-            return hits | self.thin.search(form.bones, 1)
-        hits |= self.thin.search(form.bones, 0)
-        return hits | self.weak.search(form.bones, 1) if self.weak.root else hits
+            if self.n_thin < len(self.equal):
+                for thin in list(self.equal)[self.n_thin :]:
+                    self.thin.add(thin, self.equal[thin])
+                self.n_thin = len(self.equal)
+            return hits.union(*self.thin.search(form.bones, 1))
+        hits.update(self.equal.get(form.bones, ()))
+        hits.update(self.weak.search(form.bones, 1))
+        return hits
 
 
 ANY = -1  # tries of the forms of all trades

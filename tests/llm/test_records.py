@@ -35,7 +35,7 @@ def test_distances_and_trie():
         for i, w in enumerate(words):
             t.add(w, i)
         for q in words[:40]:
-            assert t.search(q, k) == {i for i, w in enumerate(words) if full_osa(q, w) <= k}
+            assert set(t.search(q, k)) == {i for i, w in enumerate(words) if full_osa(q, w) <= k}
             assert all(osa(q, w, k) == min(full_osa(q, w), k + 1) for w in words[:60])
 
 
