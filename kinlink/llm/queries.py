@@ -12,10 +12,9 @@ from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.mixing import mix, mix_report
 from kinlink.llm.packing import container_report, pack
 from kinlink.llm.spam import spam_scores
-from kinlink.llm.splits import grouped_splits, tied_pairs
+from kinlink.llm.splits import grouped_splits, tied_components, tied_pairs
 from kinlink.llm.tokens import token_sizes
 from kinlink.llm.variants import name_classes, variant_pairs
-from kinlink.operators.components import connected_components
 from kinlink.operators.packed import unpack
 from kinlink.plans.general import ID_PATTERN, ID_SUFFIX
 from kinlink.session import cut, table
@@ -53,9 +52,7 @@ def _assigned(spark: SparkSession, d: str) -> DataFrame:
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of ids that must not be parted: members of one component of the relation the splits are built on."""
     _, links = _match_links(spark, d)
-    edges = links.select(F.concat(F.lit("r\x01"), "record_id").alias("a"), F.concat(F.lit("e\x01"), "entity").alias("b"))
-    comps = connected_components(edges).where(F.col("node").startswith("r\x01"))
-    return tied_pairs(comps.select(F.substring("node", 3, 1 << 20).alias("record_id"), "component"))
+    return tied_pairs(tied_components(links))
 
 
 @query

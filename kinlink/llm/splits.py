@@ -1,6 +1,6 @@
 """Splits that keep related records together (problem 2): grouped iterative stratification.
 
-1. Components of the relation "shares an entity" (star contraction, see operators.components).
+1. Components of the relation "shares an entity": each entity ties its records to the least of them, the rest is star contraction (operators.components).
 2. One label vector for each component: how many of its records carry each label, and how many records it has.
 3. Placement: components in the order of their rarest outstanding label, each into the split that lacks that label most.
 
@@ -74,6 +74,15 @@ def place(vectors: list[Vector], sizes: np.ndarray, lacking: np.ndarray, shares:
     return split
 
 
+def tied_components(links: DataFrame) -> DataFrame:
+    """(record_id, component) of the records of links(record_id, entity) that share an entity with another record, directly or by way of others;
+    component is the least of their ids. Each entity ties its records to the least of them; one that a single record has ties nothing."""
+    known = links.where("record_id is not null and entity is not null").select("record_id", "entity")
+    shared = known.groupBy("entity").agg(F.min("record_id").alias("least"), F.max("record_id").alias("most")).where("least <> most")
+    edges = known.join(shared, "entity").where("record_id <> least").select(F.col("record_id").alias("a"), F.col("least").alias("b")).distinct()
+    return connected_components(cut(edges)).select(F.col("node").alias("record_id"), F.col("component").cast("string").alias("component"))
+
+
 def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targets: dict[str, float], max_labels: int = MAX_LABELS) -> DataFrame:
     """(record_id, component, split_name), one row for each distinct record_id.
 
@@ -86,11 +95,7 @@ def grouped_splits(records: DataFrame, links: DataFrame, labels: DataFrame, targ
     total_share = sum(targets.values())
     shares = np.array([targets[s] / total_share for s in names])
     ids = records.select("record_id").where("record_id is not null").distinct()
-    edges = links.where("record_id is not null and entity is not null").select(
-        F.concat(F.lit("r\x01"), "record_id").alias("a"), F.concat(F.lit("e\x01"), F.col("entity").cast("string")).alias("b")
-    )
-    comps = connected_components(edges).where(F.col("node").startswith("r\x01")).select(F.substring("node", 3, 1 << 20).alias("record_id"), "component")
-    members = cut(ids.join(comps, "record_id", "left").select("record_id", F.coalesce("component", F.concat(F.lit("r\x01"), "record_id")).alias("component")))
+    members = cut(ids.join(tied_components(links), "record_id", "left").select("record_id", F.coalesce("component", F.col("record_id").cast("string")).alias("component")))
     kinds = labels.where("record_id is not null and label is not null").select("record_id", F.col("label").cast("string").alias("label")).distinct()
     totals = kinds.join(ids, "record_id", "left_semi").groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(max_labels + 1).collect()
     if len(totals) > max_labels:
