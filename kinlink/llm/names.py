@@ -13,7 +13,7 @@ from functools import lru_cache
 from itertools import permutations
 from typing import NamedTuple
 
-from kinlink.functions.text import PLACEHOLDERS
+from kinlink.functions.text import LEGAL_SUFFIXES, PLACEHOLDERS
 from kinlink.functions.translit import romanize
 from kinlink.llm.address import osa
 from kinlink.llm.lookalike import SHAPES, look
@@ -34,15 +34,17 @@ TRADES = {
     "restaurant": "restaurant restaurants rest restr", "security": "security sec systems sys system securities", "seeds": "seeds seed sds",
     "services": "services serv svc svcs service", "technologies": "technologies tech techs technology technols", "textiles": "textiles textile txtls text textls",
     "travel": "travel travels trvl agency agcy agencies trav", "tyres": "tyre tire tyres tires centre center ctr",
+    "brewery": "brewery breweries brewers brew brwy", "foundation": "foundation foundations fdn fndn", "hotel": "hotel hotels htl", "school": "school schools sch",
+    "bank": "bank banks bnk", "transport": "transport transports transp trnsp", "hospital": "hospital hospitals hosp", "theatre": "theatre theater theatres theaters",
 }
-LEGAL = set(
-    "co company corp corporation inc incorporated limited llc llp lp ltd plc private pvt sa sarl kg gmbh ag ltda spa srl bv nv oy ab as aps kft sl pte pty ohg ug cia".split()
-)
+LEGAL = {*LEGAL_SUFFIXES, *"lp plc sa sarl kg gmbh ag ltda spa srl bv nv oy ab as aps kft sl pte pty ohg ug cia".split()}
 PARTNERS = set("sons son daughters daughter dtrs brothers brother bros coowners owners ovners coowner partners associates".split())
 OPENINGS = set("the m/s ms messrs shri sri shree mr mrs dr".split())
 JOINERS = set("and n & et und y e u".split())
 GIVEN = {
     "alexander": "alex sandy sasha xander alec", "antonio": "tony toni tonio", "benjamin": "ben benny benji", "charles": "charlie chuck chas",
+    "andrew": "andy drew", "anthony": "tony ant", "christopher": "chris kit topher", "daniel": "dan danny", "david": "dave davy", "james": "jim jimmy jamie",
+    "john": "jack johnny jon", "joseph": "joe joey", "matthew": "matt", "peter": "pete", "rebecca": "becky becca", "stephen": "steve steven",
     "dorothy": "dot dolly dottie dora", "edward": "ed eddie ned ted teddy", "elizabeth": "liz betty beth eliza lizzie bess", "francisco": "paco pancho frank fran cisco",
     "frederick": "fred fritz freddie freddy", "gabriela": "gabi gaby", "giuseppe": "beppe peppe pino", "johannes": "hans hannes johann jo",
     "josefina": "fina pepa josie", "katherine": "kate katie kathy kat kitty", "krishnan": "krish kittu kishan", "lakshmi": "laxmi lachmi lak",
@@ -51,7 +53,6 @@ GIVEN = {
     "theodore": "theo ted teddy", "thomas": "tom tommy", "venkatesh": "venkat venky", "william": "bill will billy willy liam",
 }
 
-TRADE_OF = {w: k for k, (name, forms) in enumerate(TRADES.items(), 1) for w in forms.split()}
 _FOLDS = (("ph", "f"), ("w", "v"), ("z", "j"), ("q", "k"), ("x", "ks"))
 
 
@@ -63,14 +64,51 @@ def fold(word: str) -> str:
     return word
 
 
-TRADE_FOLDED = {fold(w): k for w, k in TRADE_OF.items()} | TRADE_OF
-TRADE_BARE = {fold(w).replace("a", ""): k for w, k in TRADE_OF.items() if len(w) >= 7}  # scripts whose inherent vowel is not always spoken
-TRADE_LONG = [(w, k) for w, k in TRADE_OF.items() if len(w) >= 6]
-TRADE_COUNT = len(TRADES)
-GIVEN_OF: dict[str, frozenset] = {}
-for _n, _f in GIVEN.items():
-    for _w in (_n, *_f.split()):
-        GIVEN_OF[_w] = GIVEN_OF.get(_w, frozenset()) | {_n}
+class Lexicon:
+    """What names are made of beside their own words: trades and given names (name -> written forms), legal forms, partners, openings, joiners.
+    The default one is that of the languages of the delivered tables; for others give the operators another one."""
+
+    def __init__(self, trades: dict[str, str] = TRADES, given: dict[str, str] = GIVEN, legal=LEGAL, partners=PARTNERS, openings=OPENINGS, joiners=JOINERS) -> None:
+        self.legal, self.partners, self.openings, self.joiners = frozenset(legal), frozenset(partners), frozenset(openings), frozenset(joiners)
+        plain = {w: k for k, forms in enumerate(trades.values(), 1) for w in forms.split()}
+        self.trade_of = {fold(w): k for w, k in plain.items()} | plain
+        self.trade_bare = {fold(w).replace("a", ""): k for w, k in plain.items() if len(w) >= 7}  # scripts whose inherent vowel is not always spoken
+        self.trade_long = [(w, k) for w, k in plain.items() if len(w) >= 6]
+        self.given = list(given)
+        self.given_of: dict[str, frozenset] = {}
+        for n, forms in given.items():
+            for w in (n, *forms.split()):
+                self.given_of[w] = self.given_of.get(w, frozenset()) | {n}
+        self._memo: dict[str, tuple[int, str]] = {}
+
+    def like(self, t: str) -> tuple[int, str]:
+        """(trade, given name) that a word mistypes: 0 and the empty text where there is none."""
+        got = self._memo.get(t)
+        if got is None:
+            if len(self._memo) > 1 << 15:
+                self._memo.clear()
+            got = self._memo[t] = (self._trade_like(t), self._given_like(t))
+        return got
+
+    def _trade_like(self, t: str) -> int:
+        if len(t) < 6:
+            return 0
+        bare = self.trade_bare.get(fold(t).replace("a", ""), 0)
+        if bare:
+            return bare
+        for w, k in self.trade_long:
+            if abs(len(w) - len(t)) <= 1 and (w[:2] == t[:2] or w[-2:] == t[-2:]) and osa(w, t, 1) <= 1:
+                return k
+        return 0
+
+    def _given_like(self, t: str) -> str:
+        for n in self.given:
+            if abs(len(n) - len(t)) <= 1 and (n[:2] == t[:2] or n[-2:] == t[-2:]) and osa(n, t, 1) <= 1:
+                return n
+        return ""
+
+
+LEXICON = Lexicon()
 _OCR = str.maketrans("0158", "olsb")
 _VOWELS = re.compile("[aeiouy]")
 _TOKEN = re.compile(r"[a-z0-9]+(?:['/][a-z0-9]+)*|&")
@@ -115,28 +153,7 @@ def _latin(text: str) -> str:
     return romanize(look(text) or "")
 
 
-@lru_cache(1 << 15)
-def _trade_like(t: str) -> int:
-    if len(t) < 6:
-        return 0
-    bare = TRADE_BARE.get(fold(t).replace("a", ""), 0)
-    if bare:
-        return bare
-    for w, k in TRADE_LONG:
-        if abs(len(w) - len(t)) <= 1 and (w[:2] == t[:2] or w[-2:] == t[-2:]) and osa(w, t, 1) <= 1:
-            return k
-    return 0
-
-
-@lru_cache(1 << 15)
-def _given_like(t: str) -> str:
-    for n in GIVEN:
-        if abs(len(n) - len(t)) <= 1 and (n[:2] == t[:2] or n[-2:] == t[-2:]) and osa(n, t, 1) <= 1:
-            return n
-    return ""
-
-
-def parse_name(text: str | None) -> OrgName:
+def parse_name(text: str | None, lexicon: Lexicon = LEXICON) -> OrgName:
     """Null, blank and placeholder names give NO_NAME."""
     if text is None or text.strip().lower() in PLACEHOLDERS:
         return NO_NAME
@@ -147,23 +164,23 @@ def parse_name(text: str | None) -> OrgName:
     initial = partner = ""
     trade = 0
     for i, t in enumerate(tokens):
-        if t in JOINERS and (t != "e" or len(tokens) > 3):
+        if t in lexicon.joiners and (t != "e" or len(tokens) > 3):
             if t in ("e", "y", "u", "n") and i == 0:
                 initial = t
             continue
-        if (i == 0 and t in OPENINGS) or t in LEGAL:
+        if (i == 0 and t in lexicon.openings) or t in lexicon.legal:
             continue
-        if t.startswith("coowner") or t in PARTNERS:
+        if t.startswith("coowner") or t in lexicon.partners:
             partner = t[:3]
             continue
-        k = TRADE_OF.get(t, 0) or TRADE_FOLDED.get(fold(t), 0)
+        k = lexicon.trade_of.get(t, 0) or lexicon.trade_of.get(fold(t), 0)
         if k:
             trade = trade or k
             continue
         if len(t) > 1 and any(c.isdigit() for c in t) and any(c.isalpha() for c in t):
             t = t.translate(_OCR)
-        if t in GIVEN_OF and not given:
-            given |= GIVEN_OF[t]
+        if t in lexicon.given_of and not given:
+            given |= lexicon.given_of[t]
             continue
         if len(t) == 1 and t.isalpha():
             initial = initial or t
@@ -172,13 +189,13 @@ def parse_name(text: str | None) -> OrgName:
     if len(words) > 1 or (words and not trade):
         # a mistyped trade or given name among what is left; a word must remain
         for t in list(words):
-            if len(words) > 1 and not trade and (k := _trade_like(t)):
+            if len(words) > 1 and not trade and (k := lexicon.like(t)[0]):
                 trade = k
                 words.remove(t)
         if partner or len(words) > 1:
             for t in list(words):
                 if len(words) > 1 and not given and len(t) >= 5:
-                    hit = _given_like(t)
+                    hit = lexicon.like(t)[1]
                     if hit:
                         given.add(hit)
                         words.remove(t)

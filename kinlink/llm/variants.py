@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.text import missing
 from kinlink.llm.classes import link_classes
-from kinlink.llm.names import OrgName, bones, few_vowels, fold, parse_name, same_org
+from kinlink.llm.names import LEXICON, Lexicon, OrgName, bones, few_vowels, fold, parse_name, same_org
 from kinlink.llm.trie import Trie
 from kinlink.session import cut, shuffle_partitions
 
@@ -62,7 +62,7 @@ def shard_keys(name: OrgName) -> list[str]:
     return sorted(keys)
 
 
-def with_names(df: DataFrame, text_col: str, keys: bool = False) -> DataFrame:
+def with_names(df: DataFrame, text_col: str, keys: bool = False, lexicon: Lexicon = LEXICON) -> DataFrame:
     """df with words, given, trade (and shard keys) of its name column, one parse for each distinct name of a batch."""
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), PARTS, *(["shards array<string>"] if keys else [])])
     at = df.columns.index(text_col)
@@ -73,7 +73,7 @@ def with_names(df: DataFrame, text_col: str, keys: bool = False) -> DataFrame:
             done = []
             for t in b.column(at).to_pylist():
                 if t not in memo:
-                    memo[t] = parse_name(t)
+                    memo[t] = parse_name(t, lexicon)
                 done.append(memo[t])
             cols = [pa.array([x.words for x in done], pa.string()), pa.array([x.given for x in done], pa.string()), pa.array([x.trade for x in done], pa.int32())]
             names = ["words", "given", "trade"]
@@ -250,14 +250,14 @@ def form_links(forms: DataFrame) -> DataFrame:
     return placed.mapInArrow(_join_shards, "a bigint, b bigint, score int").groupBy("a", "b").agg(F.max("score").alias("score"))
 
 
-def name_classes(left: DataFrame, right: DataFrame) -> DataFrame:
+def name_classes(left: DataFrame, right: DataFrame, lexicon: Lexicon = LEXICON) -> DataFrame:
     """(text, cls) for each distinct name of left(text) and right(text) with words in it.
 
     All names are compared with all, those of one table too. Nulls, blanks and placeholders, and names of nothing but legal forms and trades,
     are in no class.
     """
     texts = left.select("text").unionByName(right.select("text")).where(~missing("text")).distinct()
-    parsed = cut(with_names(texts, "text", keys=True).where("words <> ''").withColumn("form", F.xxhash64("words", "given", "trade")))
+    parsed = cut(with_names(texts, "text", True, lexicon).where("words <> ''").withColumn("form", F.xxhash64("words", "given", "trade")))
     forms = parsed.groupBy("form").agg(F.first("words").alias("words"), F.first("given").alias("given"), F.first("trade").alias("trade"), F.first("shards").alias("shards"))
     links = cut(form_links(forms))
     classes = link_classes(forms.select(F.col("form").alias("node")), links)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kinlink.llm.address import EMPTY, osa, parse, same_place
 from kinlink.llm.classes import link_classes
 from kinlink.llm.entities import best_left, best_sites, one_to_one, one_to_one_sites, ranked, site_candidates, solve
-from kinlink.llm.names import NO_NAME, OrgName, parse_name, same_org
+from kinlink.llm.names import NO_NAME, Lexicon, OrgName, parse_name, same_org
 from kinlink.llm.neighbours import Gate, letter_mask, window_pairs
 from kinlink.llm.places import place_classes, place_pairs
 from kinlink.llm.splits import grouped_splits, place, tied_pairs
@@ -377,3 +377,12 @@ def test_two_edits_in_two_words(spark):
     names = spark.createDataFrame([("Kestrel Delmar Bakery",), ("Kestnel Delman Bakery",), ("Alpha Bravo Kestrel Delmar",), ("Delmar Alpha Bravo Kestrel",), ("Reno Lima Foods",), ("Lima Reno Foods",)], "text string")
     cls = {x.text: x.cls for x in name_classes(names, names.limit(0)).collect()}
     assert cls["Kestrel Delmar Bakery"] == cls["Kestnel Delman Bakery"] and cls["Alpha Bravo Kestrel Delmar"] == cls["Delmar Alpha Bravo Kestrel"] and cls["Reno Lima Foods"] == cls["Lima Reno Foods"]
+
+
+def test_other_lexicon(spark):
+    """Trades and given names are a parameter of the operators."""
+    lexicon = Lexicon(trades={"plant": "kraftwerk kw"}, given={"jochen": "jo"})
+    assert parse_name("Alphona Kraftwerk GmbH", lexicon).trade == 1 and parse_name("Alphona Kraftwerk GmbH").trade == 0
+    names = spark.createDataFrame([("Alphona Kraftwerk GmbH",), ("KW Alphona",), ("Alphona Bakery",)], "text string")
+    cls = {x.text: x.cls for x in name_classes(names, names.limit(0), lexicon).collect()}
+    assert cls["Alphona Kraftwerk GmbH"] == cls["KW Alphona"] != cls["Alphona Bakery"]
