@@ -2,8 +2,8 @@
 
 Every family of keys of a record goes into one array of (family, key) and is exploded once. Target keys that are too frequent in their country are
 dropped (a rule of the blocking, not an optimisation); the frequencies come from the same postings with a map-side
-combined count. The n-gram family asks for a number of shared rare grams: only as many of a record's rarest grams are probed as
-a pair with enough shared ones cannot miss (prefix filter), and the count is then checked on the gram sets.
+combined count. The n-gram family asks for a number of shared rare grams: records that have too few rare ones are left out, the postings of
+frequent grams are dropped before they are shuffled (where the rare keys are few enough for AQE to broadcast them), and the pairs are counted.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def ngram_hits(s1: DataFrame, target: DataFrame, config: BlockingConfig) -> Data
     sg = need.select("pos", "country", "required", F.explode("grams").alias("key")).join(rare, ["country", "key"])
     able = sg.groupBy("pos").agg(F.count("*").alias("r"), F.first("required").alias("required")).where("r >= required")
     probe = sg.select("pos", "country", "key").join(able.select("pos", "required"), "pos").withColumnRenamed("pos", "s1_pos")
-    build = tp.withColumnRenamed("pos", "t_pos")
+    build = tp.join(rare, ["country", "key"], "left_semi").withColumnRenamed("pos", "t_pos")
     counted = probe.join(build, ["country", "key"]).groupBy("s1_pos", "t_pos").agg(F.count("*").cast("int").alias("shared"), F.first("required").alias("required"))
     return counted.where("shared >= required").select("s1_pos", "t_pos", "shared")
 
