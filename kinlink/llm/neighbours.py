@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.session import cut, shuffle_partitions
+from kinlink.session import shuffle_partitions, stored
 
 
 @dataclass(frozen=True)
@@ -161,7 +161,7 @@ def window_pairs(
         if held is not None and len(held):
             yield pa.RecordBatch.from_arrays(pair_arrays(compared(held, len(held), held["part"].to_numpy())), pair_names)
 
-    got = cut(in_order.mapInArrow(slide, schema))
+    got = stored(in_order.mapInArrow(slide, schema))
     edges = got.where("part is not null").select(*edge_names).repartition(1).sortWithinPartitions("part", "at")
     found = got.where("a is not null").select(*pair_names).unionByName(edges.mapInArrow(across, "a bigint, b bigint, score int"))
     return found.groupBy("a", "b").agg(F.max("score").alias("score"))

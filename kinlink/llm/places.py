@@ -12,7 +12,7 @@ from kinlink.functions.text import missing
 from kinlink.llm.address import Address, parse, same_place
 from kinlink.llm.classes import link_classes
 from kinlink.llm.neighbours import Gate, letter_mask, window_pairs
-from kinlink.session import cut
+from kinlink.session import cut, stored
 
 WINDOW = 20
 PARTS = "number string, letter string, direction string, types int, street string, town string, region string, postcode string, loose int"
@@ -77,8 +77,8 @@ def place_classes(records: DataFrame, id_col: str, address_col: str, window: int
     Nulls, blanks and placeholders are in no class; a record delivered again counts once; extra columns are ignored.
     """
     rows = records.select(F.col(id_col).alias("id"), F.col(address_col).alias("text")).where("id is not null").where(~missing("text")).distinct()
-    texts = cut(with_parts(rows.select("text").distinct(), "text").where("number <> '' and street <> ''"))
-    texts = cut(settle_regions(texts).withColumn("form", F.xxhash64(*PART_NAMES)))
+    texts = stored(with_parts(rows.select("text").distinct(), "text").where("number <> '' and street <> ''"))
+    texts = stored(settle_regions(texts).withColumn("form", F.xxhash64(*PART_NAMES)))
     forms = texts.drop("text").dropDuplicates(["form"]).withColumn("gate", F.xxhash64("number", "letter", "direction"))
     house = F.concat_ws("|", "number", "letter", "direction")
     keys = [

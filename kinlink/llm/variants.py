@@ -24,7 +24,7 @@ from kinlink.functions.text import missing
 from kinlink.llm.classes import link_classes
 from kinlink.llm.names import LEXICON, Lexicon, OrgName, bones, few_vowels, fold, parse_name, same_org
 from kinlink.llm.trie import Trie
-from kinlink.session import cut, shuffle_partitions
+from kinlink.session import cut, shuffle_partitions, stored
 
 INDEX_PART = 4_000
 QUERY_PART = 20_000
@@ -257,7 +257,7 @@ def name_classes(left: DataFrame, right: DataFrame, lexicon: Lexicon = LEXICON)
     are in no class.
     """
     texts = left.select("text").unionByName(right.select("text")).where(~missing("text")).distinct()
-    parsed = cut(with_names(texts, "text", True, lexicon).where("words <> ''").withColumn("form", F.xxhash64("words", "given", "trade")))
+    parsed = stored(with_names(texts, "text", True, lexicon).where("words <> ''").withColumn("form", F.xxhash64("words", "given", "trade")))
     forms = parsed.groupBy("form").agg(F.first("words").alias("words"), F.first("given").alias("given"), F.first("trade").alias("trade"), F.first("shards").alias("shards"))
     links = cut(form_links(forms))
     classes = link_classes(forms.select(F.col("form").alias("node")), links)
