@@ -162,72 +162,79 @@ def best_left(pairs: DataFrame) -> DataFrame:
 
 # -- one to one --------------------------------------------------------------------------------------------------------
 
-EXACT_PAIRS = 20_000  # candidate pairs of a component that one task solves
+LARGE_PAIRS = 20_000  # candidate pairs of a component that gets a task of its own
 
 
 def solve(left: list, right: list, weight: list[int], cap_left: dict, cap_right: dict) -> list[int]:
-    """Units of each pair in the assignment of greatest total weight, no end above its capacity: successive shortest paths with potentials.
-    Weights are positive; the pairs are taken in their order where several assignments are equally good."""
+    """Units of each pair in the assignment of greatest total weight, no end above its capacity: the left ends are added one at a time, each by
+    shortest paths under prices. A search ends at the nearest right end with room or at a left end that is worth nothing more, so it
+    sees the surroundings of its start and not the whole component. Weights are positive; the pairs are taken in their order where several
+    assignments are equally good."""
     out: dict = {}
     back: dict = {}
     for e, (x, y) in enumerate(zip(left, right)):
         out.setdefault(x, []).append(e)
         back.setdefault(y, []).append(e)
     flow = [0] * len(left)
-    free_l, free_r = dict(cap_left), dict(cap_right)
-    # potentials: cost of reaching a node at no less than zero reduced cost; the cost of a pair is its weight with the sign turned
-    pot_l = dict.fromkeys(out, 0)
-    pot_r = {y: -max(weight[e] for e in es) for y, es in back.items()}
-    while True:
-        dist: dict = {}
-        via: dict = {}
-        heap: list = []
-        for n, x in enumerate(out):
-            if free_l[x]:
-                heapq.heappush(heap, (-pot_l[x], 0, n, x))
-                dist[0, x] = -pot_l[x]
-        best = None
-        done = set()
-        while heap:
-            d, side, _, v = heapq.heappop(heap)
-            if (side, v) in done:
-                continue
-            done.add((side, v))
-            if side == 0:
-                for e in out[v]:
-                    y = right[e]
-                    nd = d - weight[e] + pot_l[v] - pot_r[y]
-                    if nd < dist.get((1, y), nd + 1):
-                        dist[1, y], via[1, y] = nd, e
-                        heapq.heappush(heap, (nd, 1, e, y))
-            else:
-                if free_r[v] and (best is None or d + pot_r[v] < best[0]):
-                    best = (d + pot_r[v], v)
-                for e in back[v]:
-                    x = left[e]
-                    if flow[e]:
-                        nd = d + weight[e] + pot_r[v] - pot_l[x]
-                        if nd < dist.get((0, x), nd + 1):
-                            dist[0, x], via[0, x] = nd, e
-                            heapq.heappush(heap, (nd, 0, e, x))
-        if best is None or best[0] >= 0:
-            return flow
-        end, path, side = best[1], [], 1
-        v = end
-        while (side, v) in via:
-            e = via[side, v]
-            path.append((e, side))
-            v, side = (left[e], 0) if side else (right[e], 1)
-        units = min([free_l[v], free_r[end], *(flow[e] for e, forward in path if not forward)])
-        for e, forward in path:
-            flow[e] += units if forward else -units
-        free_l[v] -= units
-        free_r[end] -= units
-        most = max(d for d in dist.values())
-        for x in pot_l:
-            pot_l[x] += dist.get((0, x), most)
-        for y in pot_r:
-            pot_r[y] += dist.get((1, y), most)
+    used: dict = {y: {} for y in back}  # the pairs of a right end that have units, in the order they got them
+    free_r = dict(cap_right)
+    # prices: p + q >= weight for the left ends that were added, equal where there are units; above 0 only for ends without room
+    p: dict = {}
+    q = dict.fromkeys(back, 0)
+    for start, own in out.items():
+        p[start] = max(0, max(weight[e] - q[right[e]] for e in own))
+        units = cap_left[start]
+        while units:
+            dist: dict = {(0, start): 0}
+            via: dict = {}
+            heap: list = [(0, 0, -1, start)]
+            best, end = p[start], (0, start)
+            settled = []
+            while heap and heap[0][0] < best:
+                d, side, _, v = heapq.heappop(heap)
+                if d > dist[side, v]:
+                    continue
+                settled.append((side, v, d))
+                if side == 0:
+                    for e in out[v]:
+                        y = right[e]
+                        nd = d + p[v] + q[y] - weight[e]
+                        if nd < best and nd < dist.get((1, y), best):
+                            dist[1, y], via[1, y] = nd, e
+                            if free_r[y]:
+                                best, end = nd, (1, y)
+                            else:
+                                heapq.heappush(heap, (nd, 1, e, y))
+                else:
+                    for e in used[v]:
+                        x = left[e]
+                        if d < dist.get((0, x), d + 1):
+                            dist[0, x], via[0, x] = d, e
+                            heapq.heappush(heap, (d, 0, e, x))
+                            if d + p[x] < best:
+                                best, end = d + p[x], (0, x)
+            for side, v, d in settled:
+                if d < best:
+                    if side:
+                        q[v] += best - d
+                    else:
+                        p[v] -= best - d
+            path, at = [], end
+            while at in via:
+                e = via[at]
+                path.append((e, at[0]))
+                at = (0, left[e]) if at[0] else (1, right[e])
+            moved = min([units, *([free_r[end[1]]] if end[0] else []), *(flow[e] for e, forward in path if not forward)])
+            for e, forward in path:
+                flow[e] += moved if forward else -moved
+                if flow[e]:
+                    used[right[e]][e] = None
+                else:
+                    used[right[e]].pop(e, None)
+            if end[0]:
+                free_r[end[1]] -= moved
+            units -= moved
+    return flow
 
 
 def _solve_components(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,48 +249,29 @@ def _solve_components(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             units = solve(left, right, weight, dict(zip(left, g["left_cap"].tolist())), dict(zip(right, g["right_cap"].tolist())))
         return g[["left_id", "right_id", "confidence"]].assign(units=units)
 
-    held: pd.DataFrame | None = None
+    held: list[pd.DataFrame] = []
     for df in parts:
         if not len(df):
             continue
-        df = df if held is None else pd.concat([held, df], ignore_index=True)
         last = df["component"] == df["component"].iloc[-1]
-        held = df[last].reset_index(drop=True)
-        ready = df[~last]
-        if len(ready):
-            got = pd.concat([one(g) for _, g in ready.groupby("component", sort=False)])
-            yield got[got["units"] > 0]
-    if held is not None:
-        got = one(held)
+        if not held or held[0]["component"].iloc[0] != df["component"].iloc[-1]:
+            ready = pd.concat([*held, df[~last]], ignore_index=True)
+            if len(ready):
+                got = pd.concat([one(g) for _, g in ready.groupby("component", sort=False)])
+                yield got[got["units"] > 0]
+            held = []
+        held.append(df[last])
+    if held:
+        got = one(pd.concat(held, ignore_index=True))
         yield got[got["units"] > 0]
 
 
-def _dominant(pairs: DataFrame) -> DataFrame:
-    """Assignment by locally dominant pairs: a pair that is the best of both its ends takes what both have left, and so on. At least half of
-    the greatest total. Ties go by a hash of the pair, so many pairs of a group of equals are taken at once; each round takes the first of all pairs, so it ends.
-    Tables are written between the rounds: a checkpoint would hand on size estimates that joins multiply from round to round."""
-    left = stored(pairs)
-    schema = "left_id", "right_id", "confidence"
-    order = [F.desc("confidence"), F.xxhash64("left_id", "right_id"), "left_id", "right_id"]
-    wa, wb = Window.partitionBy("left_id").orderBy(*order), Window.partitionBy("right_id").orderBy(*order)
-    taken = None
-    while left.limit(1).count():
-        now = left.withColumn("ra", F.row_number().over(wa)).withColumn("rb", F.row_number().over(wb)).where("ra = 1 and rb = 1")
-        now = stored(now.select(*schema, F.least("left_cap", "right_cap").alias("units")))
-        taken = now if taken is None else taken.unionByName(now)
-        used_l, used_r = now.select("left_id", F.col("units").alias("ul")), now.select("right_id", F.col("units").alias("ur"))
-        rest = left.join(used_l, "left_id", "left").join(used_r, "right_id", "left")
-        rest = rest.select(*schema, (F.col("left_cap") - F.coalesce("ul", F.lit(0))).alias("left_cap"), (F.col("right_cap") - F.coalesce("ur", F.lit(0))).alias("right_cap"))
-        left = stored(rest.where("left_cap > 0 and right_cap > 0"))
-    return taken if taken is not None else left.select(*schema, F.lit(0).cast("bigint").alias("units"))
-
-
-def assignment(pairs: DataFrame, exact_pairs: int = EXACT_PAIRS) -> DataFrame:
+def assignment(pairs: DataFrame, large_pairs: int = LARGE_PAIRS) -> DataFrame:
     """(left_id, right_id, confidence, units): the assignment of greatest total confidence in which no end has more units than its capacity.
 
     pairs(left_id, right_id, confidence, left_cap, right_cap); null ids and repeated pairs are dropped. Each connected component of the candidates
-    with at most exact_pairs pairs is solved exactly by augmenting paths; a larger one, which no task should hold, by locally dominant pairs, whose
-    total is at least half of the greatest.
+    is solved exactly, whatever its size, by augmenting paths in one task, which holds its pairs; components of more than large_pairs pairs get
+    a task each, the others share tasks. The result does not depend on that.
     """
     caps = [F.max(c).cast("bigint").alias(c) for c in ("left_cap", "right_cap")]
     clean = pairs.where("left_id is not null and right_id is not null and confidence > 0").groupBy("left_id", "right_id").agg(F.max("confidence").alias("confidence"), *caps)
@@ -293,20 +281,23 @@ def assignment(pairs: DataFrame, exact_pairs: int = EXACT_PAIRS) -> DataFrame:
     comps = connected_components(edges).where(F.col("node").startswith("l\x01"))
     placed = cut(clean.withColumn("node", node).join(comps, "node").drop("node"))
     sizes = placed.groupBy("component").agg(F.count("*").alias("n"))
-    large = cut(sizes.where(F.col("n") > exact_pairs).select("component"))
-    some = large.limit(1).count()
-    small = placed.join(large, "component", "left_anti") if some else placed
+    large = cut(sizes.where(F.col("n") > large_pairs).select("component", (F.row_number().over(Window.orderBy(F.desc("n"), "component")) - 1).alias("task")))
+    tasks = large.count()
+    small = placed.join(large, "component", "left_anti") if tasks else placed
     kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
     schema = f"left_id {kinds['left_id']}, right_id {kinds['right_id']}, confidence double, units bigint"
-    small = small.repartition(shuffle_partitions(pairs.sparkSession), "component").sortWithinPartitions("component", F.desc("confidence"), "left_id", "right_id")
-    got = small.mapInPandas(_solve_components, schema)
-    return got.unionByName(_dominant(placed.join(large, "component", "left_semi").drop("component"))) if some else got
 
+    def solved(rows: DataFrame) -> DataFrame:
+        return rows.sortWithinPartitions("component", F.desc("confidence"), "left_id", "right_id").mapInPandas(_solve_components, schema)
 
-def one_to_one(pairs: DataFrame, exact_pairs: int = EXACT_PAIRS) -> DataFrame:
+    got = solved(small.repartition(shuffle_partitions(pairs.sparkSession), "component"))
+    return got.unionByName(solved(placed.join(large, "component").repartitionById(tasks, "task").drop("task"))) if tasks else got
+
+
+def one_to_one(pairs: DataFrame, large_pairs: int = LARGE_PAIRS) -> DataFrame:
     """(left_id, right_id, confidence): assignment() with each id used once."""
     one = F.lit(1)
-    return assignment(pairs.withColumn("left_cap", one).withColumn("right_cap", one), exact_pairs).select("left_id", "right_id", "confidence")
+    return assignment(pairs.withColumn("left_cap", one).withColumn("right_cap", one), large_pairs).select("left_id", "right_id", "confidence")
 
 
 def ranked(df: DataFrame, group: str, order: str) -> DataFrame:

@@ -326,6 +326,15 @@ def test_one_to_one(spark):
     assert one_to_one(df.limit(0)).count() == 0
 
 
+def test_one_to_one_is_the_same_for_components_of_any_size(spark):
+    """Chains in which taking the best pair first loses: tasks of their own give the same greatest total as shared ones."""
+    schema = "left_id string, right_id string, confidence double"
+    chains = [e for k in range(9) for e in ((f"{k}a", f"{k}x", 0.6), (f"{k}a", f"{k}y", 0.7), (f"{k}b", f"{k}y", 0.6))]
+    want = {(f"{k}{a}", f"{k}{b}") for k in range(9) for a, b in ("ax", "by")}
+    for n in (1000, 2):
+        assert {(r.left_id, r.right_id) for r in one_to_one(spark.createDataFrame(chains, schema), n).collect()} == want
+
+
 def test_copies_of_a_site_take_one_place(spark):
     """More copies on both sides than any window holds: all of them are paired."""
     schema = "entity_id string, business_name string, business_address string, country string"
