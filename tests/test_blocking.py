@@ -1,5 +1,6 @@
 """The Spark plan against an independent model with plain sets and loops."""
 
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -132,3 +133,51 @@ def test_pairs_and_measures(spark):
     first = pr.dedup_first(spark.createDataFrame([(2, "a", "late"), (1, "a", None)], "pos long, id string, v string"), "id")
     assert rows(first) == [(1, "a", None)]
     assert pr.collect_ids(spark.createDataFrame([("A", "y", 2), ("A", "x", 3), ("A", "y", 1)], "k string, i string, o int"), "k", "i", "o").first().ids == "y,x"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_pair_is_shuffled_and_counts_are_those_of_the_pairs(spark):
+    from kinlink.operators.probing import key_index, met, probed
+
+    s1, target = make(5, 40, 80)
+    a, b = (entity_features(spark.createDataFrame(x, SCHEMA), "latin") for x in (s1, target))
+    config = bl.BlockingConfig(version=2, mode="latin")
+    named = bl.generate_candidates(a, b, config)
+    assert "Exchange" not in _plan(named) and "Exchange" not in _plan(bl.candidate_positions(a, b, config))
+    want, _ = model(s1, target, config)
+    sid, tid = {p: i for p, i, *_ in s1}, {p: i for p, i, *_ in target}
+    pairs = {}
+    for p, t in want:
+        x, y = pairs.get((sid[p], tid[t]), (p, t))
+        pairs[sid[p], tid[t]] = min(p, x), min(t, y)
+    assert {(r.s1_id, r.target_id): (r.s1_pos, r.t_pos) for r in named.collect()} == pairs
+    index = key_index(a, b, config)
+    assert {r.s1_id: r.n for r in probed(index, config, "ids").collect()} == Counter(i for i, _ in pairs)
+    brief = {r.s1_pos: (r.n, r.t_pos_sum) for r in probed(index, config, "brief").collect()}
+    assert brief == {p: (len(ts), sum(ts)) for p in {p for p, _ in want} for ts in [[t for q, t in want if q == p]]}
+    every = spark.createDataFrame(sorted({(i, j) for i in sid.values() for j in tid.values()}), "s1_id string, target_id string")
+    assert {tuple(r) for r in met(every, index).collect()} == set(pairs)
+
+
+def test_cells_and_steps_of_any_size_give_the_same(spark, monkeypatch):
+    from kinlink.operators import probing
+
+    s1, target = make(6, 40, 80)
+    a, b = (entity_features(spark.createDataFrame(x, SCHEMA), "latin") for x in (s1, target))
+    config = bl.BlockingConfig(version=1, mode="latin")
+    want, _ = model(s1, target, config)
+    index = probing.key_index(a, b, config)
+    for keys in (200, 10_000):
+        monkeypatch.setattr(probing, "SHARD_KEYS", keys)
+        monkeypatch.setattr(probing, "CHUNK_KEYS", keys)
+        assert {tuple(r) for r in probing.probed(index, config, "pairs").collect()} == want
+    parts = [pickle.loads(next(make_blob(iter(df.toArrow().to_batches()))).column(0)[0].as_py()) for make_blob, df in ((probing._shard, index[1]), (probing._chunk, index[0]))]
+    got = []
+    for n in (1, 7, 1000):
+        monkeypatch.setattr(probing, "BATCH_PAIRS", n)
+        steps = list(probing._cells(*parts, False))
+        got.append((len(steps), [(int(x), int(y)) for r, c, _ in steps for x, y in zip(r, c)]))
+    assert got[0][1] == got[1][1] == got[2][1] and got[0][0] > got[1][0] > got[2][0] == 1
