@@ -41,10 +41,17 @@ def lookup_join(pairs: DataFrame, s1: DataFrame, target: DataFrame) -> DataFrame
     return pairs.join(a, "s1_id").join(b, "target_id")
 
 
-def pair_features(pairs: DataFrame, s1: DataFrame, target: DataFrame) -> DataFrame:
-    """pairs with the features of FEATURES; s1 and target are entity features."""
+def pair_features(pairs: DataFrame, s1: DataFrame, target: DataFrame, n: int = 3) -> DataFrame:
+    """pairs with the features of FEATURES; s1 and target are entity features, n the length of their grams.
+
+    Only the normalized strings go through the joins; the sets of words and grams, several times their size, are made of them behind."""
+    from kinlink.functions import text as tx
+
     keep = pairs.columns
-    j = lookup_join(pairs, pair_inputs(s1), pair_inputs(target))
+    strings = [dedup_first(e.select("pos", "id", "country_raw", "name", "core", "address"), "id").drop("pos") for e in (s1, target)]
+    j = lookup_join(pairs, *strings)
+    sets = {"name_tokens": ("name", tx.tokens), "grams": ("name", lambda c: tx.char_ngrams(c, n)), "numbers": ("address", tx.numeric_tokens), "addr_tokens": ("address", tx.tokens), "addr_grams": ("address", tx.char_ngrams)}
+    j = j.withColumns({f"{side}_{k}": make(f"{side}_{c}") for side in "ab" for k, (c, make) in sets.items()})
     j = j.withColumn("fz", sim.fuzzy_four("a_name", "b_name", "a_core", "b_core", "a_address", "b_address"))
     cols = {
         "country_equal": (F.col("a_country_raw") == F.col("b_country_raw")).cast("double"),

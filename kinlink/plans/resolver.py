@@ -34,7 +34,7 @@ class EntityResolver:
 
     def pairs(self, a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
         candidates = cut(generate_candidates(a, b, self.config))
-        return candidates, pair_features(candidates, a, b)
+        return candidates, pair_features(candidates, a, b, self.config.n)
 
     def fit(self, s1: DataFrame, s2: DataFrame, s3: DataFrame, truth: DataFrame, **overrides) -> "EntityResolver":
         a, b = self.prepared(s1, s2, s3)
