@@ -185,3 +185,21 @@ def test_stream(spark, tmp_path):
     q = link_stream(stream, target, lambda df, epoch: df.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out), BlockingConfig(families=(EXACT_NAME,), mode="latin"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 16
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_pipeline_learns_from_features_alone(spark, monkeypatch):
+    """The table that is written for training holds neither ids nor the other half's pairs."""
+    from kinlink.operators.pairs import FEATURES
+    from kinlink.plans import linkage
+
+    class Seen(Exception):
+        pass
+
+    def train(rows, kind="histgb", **overrides):
+        raise Seen(rows.columns)
+
+    monkeypatch.setattr(linkage.md, "train", train)
+    with pytest.raises(Seen) as got:
+        linkage.QUERIES["pipeline_macro_fbeta"](spark, SF)
+    assert got.value.args[0] == [*FEATURES, "label"]
